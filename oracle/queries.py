@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracle.more import SELECTS
 from oracle.sql import CTES, statement
 
 MODEL_KEYS = [
@@ -14,9 +15,6 @@ MODEL_KEYS = [
     "fct_sales_performance",
 ]
 
-# ad-hoc statements (key -> select body over the CTEs)
-SELECTS: dict[str, str] = {}
-
 
 def oracle_statements() -> dict[str, str]:
     out = {k: statement(k) for k in MODEL_KEYS if k in CTES}

@@ -7,12 +7,22 @@ with the data.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revspark.operators import quality as Q
 from revspark.plans import intermediate as I
+from revspark.plans import metrics as DSH
+from revspark.plans import targets as TG
 from revspark.plans.project import INTERMEDIATE_MODELS, MART_MODELS, STAGING_MODELS, Project
+from revspark.plans.quality import dq_suite
+from revspark.session import scratch_path
+from revspark.sources.csv import ingest, read_raw
+from revspark.sources.schemas import TABLES
+from revspark.sources.sinks import export_csv
 from revspark.sources.testdata import TestdataSource
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,18 +46,80 @@ def _step(fn: Callable[[Project], DataFrame], name: str) -> Query:
     return run
 
 
+def export_landing(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Write the nine raw tables as CSV files laid out like the loader expects."""
+    src = TestdataSource(spark, sf_dir)
+    for name, spec in TABLES.items():
+        export_csv(src.table(name), os.path.join(root, spec.file))
+
+
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV landing -> typed Parquet tables, with the per-table row audit."""
+    run = scratch_path(spark, f"load-{uuid.uuid4().hex}")
+    export_landing(spark, sf_dir, os.path.join(run, "landing"))
+    return ingest(spark, os.path.join(run, "landing"), os.path.join(run, "warehouse"))
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deal table written as CSV and read back with its declared schema."""
+    spec = TABLES["sales_pipeline"]
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    export_csv(TestdataSource(spark, sf_dir).table(spec.name), path)
+    return read_raw(spark, path, spec)
+
+
 QUERIES: dict[str, Query] = {}
 for _n in STAGING_MODELS + INTERMEDIATE_MODELS:
     QUERIES[_n] = _model(_n)
 
-QUERIES.update({
-    "agent_revenue": _step(lambda p: I.agent_revenue(p.int_deal_economics), "agent_revenue"),
-    "agent_effort": _step(lambda p: I.agent_effort(p.stg_activities), "agent_effort"),
-    "nps_summary": _step(lambda p: I.nps_summary(p.stg_nps_surveys), "nps_summary"),
-    "latest_nps": _step(lambda p: I.latest_nps(p.stg_nps_surveys), "latest_nps"),
-    "ticket_summary": _step(lambda p: I.ticket_summary(p.stg_support_tickets), "ticket_summary"),
-    "revenue_summary": _step(lambda p: I.revenue_summary(p.int_deal_economics), "revenue_summary"),
-})
-
+_STEPS: dict[str, Callable[[Project], DataFrame]] = {
+    "agent_revenue": lambda p: I.agent_revenue(p.int_deal_economics),
+    "agent_effort": lambda p: I.agent_effort(p.stg_activities),
+    "nps_summary": lambda p: I.nps_summary(p.stg_nps_surveys),
+    "latest_nps": lambda p: I.latest_nps(p.stg_nps_surveys),
+    "ticket_summary": lambda p: I.ticket_summary(p.stg_support_tickets),
+    "revenue_summary": lambda p: I.revenue_summary(p.int_deal_economics),
+}
+_MART_STEPS: dict[str, Callable[[Project], DataFrame]] = {
+    # data quality
+    "dq_unique": lambda p: Q.check_unique(p.raw("quotas"), "quota_id"),
+    "dq_not_null": lambda p: Q.check_not_null(p.stg_sales_pipeline, "account_name"),
+    "dq_suite": lambda p: dq_suite(p),
+    # dashboard metrics
+    "kpi_executive": lambda p: DSH.kpi_executive(p.fct_sales_pipeline),
+    "revenue_by_product": lambda p: DSH.revenue_by_product(p.fct_sales_pipeline),
+    "product_growth": lambda p: DSH.product_growth(p.fct_sales_pipeline),
+    "revenue_by_region": lambda p: DSH.revenue_by_region(p.fct_sales_pipeline, p.dim_sales_teams),
+    "stage_mix": lambda p: DSH.stage_mix(p.fct_sales_pipeline),
+    "avg_attainment": lambda p: DSH.avg_attainment(p.fct_sales_performance),
+    "product_pnl": lambda p: DSH.product_pnl(p.fct_sales_pipeline),
+    "product_win_cycle": lambda p: DSH.product_win_cycle(p.fct_sales_pipeline),
+    "profit_pareto": lambda p: DSH.profit_pareto(p.fct_sales_pipeline),
+    "revenue_per_hour": lambda p: DSH.revenue_per_hour(p.fct_sales_performance),
+    "effort_vs_revenue": lambda p: DSH.effort_vs_revenue(p.fct_sales_performance),
+    "quota_exceeders": lambda p: DSH.quota_exceeders(p.fct_sales_performance),
+    "tier_distribution": lambda p: DSH.tier_distribution(p.fct_sales_performance),
+    "attainment_heatmap": lambda p: DSH.attainment_heatmap(p.fct_sales_performance),
+    "accounts_at_risk": lambda p: DSH.accounts_at_risk(p.dim_accounts),
+    "rolling_attainment": lambda p: DSH.rolling_attainment(p.fct_sales_performance),
+    "quota_leaderboard": lambda p: DSH.quota_leaderboard(p.fct_sales_performance),
+    "mart_filter": lambda p: DSH.mart_filter(p.fct_sales_performance),
+    # quota and customer derivations
+    "agent_baseline": lambda p: TG.agent_baseline(p.stg_sales_pipeline),
+    "month_spine": lambda p: TG.agent_month_spine(p.stg_sales_teams),
+    "quota_targets": lambda p: TG.quota_targets(p.stg_sales_teams, p.stg_sales_pipeline),
+    "activity_window": lambda p: TG.activity_window(p.stg_sales_pipeline),
+    "unit_costs": lambda p: TG.unit_costs(p.stg_products, p.source.cost_rates),
+    "account_engagement": lambda p: TG.account_engagement(p.stg_accounts, p.stg_sales_pipeline),
+    "nps_category": lambda p: TG.nps_category(p.stg_nps_surveys),
+    "ticket_resolution": lambda p: TG.ticket_resolution(p.stg_support_tickets),
+}
+
+for _n, _f in _STEPS.items():
+    QUERIES[_n] = _step(_f, _n)
 for _n in MART_MODELS:
     QUERIES[_n] = _model(_n)
+for _n, _f in _MART_STEPS.items():
+    QUERIES[_n] = _step(_f, _n)
+QUERIES["load_audit"] = load_audit
+QUERIES["csv_roundtrip"] = csv_roundtrip
