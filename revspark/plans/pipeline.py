@@ -23,7 +23,8 @@ def run(spark: SparkSession, project: Project, out_root: str) -> dict[str, DataF
     plus ``dq_results``."""
     deals_path = os.path.join(out_root, "int_deal_economics")
     write_table(project.int_deal_economics, deals_path)
-    # later references to the model read the written table
+    # a fresh DAG over the same source whose deal model is the written table
+    project = Project(project.source, project.quota_keys)
     project.__dict__["int_deal_economics"] = spark.read.parquet(deals_path)
 
     written = write_marts(spark, {m: project.model(m) for m in MART_MODELS}, out_root)

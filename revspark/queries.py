@@ -22,14 +22,25 @@ from revspark.plans.quality import dq_suite
 from revspark.session import scratch_path
 from revspark.sources.csv import ingest, read_raw
 from revspark.sources.schemas import TABLES
-from revspark.sources.sinks import export_csv
+from revspark.sources.sinks import export_csv, run_concurrently
 from revspark.sources.testdata import TestdataSource
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_PROJECTS: dict[tuple[str, str], Project] = {}
+
+
 def project(spark: SparkSession, sf_dir: str) -> Project:
-    return Project(TestdataSource(spark, sf_dir))
+    """The model DAG over ``sf_dir``, built once per session and folder.
+
+    Models are lazy plans, so sharing them between queries shares only plan
+    construction on the driver, never data.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _PROJECTS:
+        _PROJECTS[key] = Project(TestdataSource(spark, sf_dir))
+    return _PROJECTS[key]
 
 
 def _model(name: str) -> Query:
@@ -49,8 +60,8 @@ def _step(fn: Callable[[Project], DataFrame], name: str) -> Query:
 def export_landing(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Write the nine raw tables as CSV files laid out like the loader expects."""
     src = TestdataSource(spark, sf_dir)
-    for name, spec in TABLES.items():
-        export_csv(src.table(name), os.path.join(root, spec.file))
+    run_concurrently([lambda n=n, spec=spec: export_csv(src.table(n), os.path.join(root, spec.file))
+                      for n, spec in TABLES.items()])
 
 
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
