@@ -1,11 +1,12 @@
-"""Global running totals without funnelling all rows into one task.
-
-``sum(v) over (order by o rows between unbounded preceding and current row)``
-with no PARTITION BY runs in a single task. Here the rows are range-partitioned
-on the (total) order instead, each range computes its local running sum, and
-every range adds the sum of all ranges before it. Only one row per range (the
-range totals) is combined globally, and that table's size is the number of
-ranges, a parameter.
+"""Running totals and ranks without funnelling a whole group into one task.
+
+``sum(v) over (partition by p order by o rows between unbounded preceding and
+current row)`` sorts each partition ``p`` in a single task, and without a
+PARTITION BY the whole table. Here the rows are range-partitioned on
+(p, o) instead: each range computes its local running sums, and adds, per key
+``p``, the totals of the earlier ranges. Only one row per (range, key) is
+combined across ranges, so a key holding a third of all rows is still spread
+over many tasks.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from revspark.session import checkpoint_dir
 
 
 def running_total(df: DataFrame, order: Sequence[Column], value: str, out: str,
-                  ranges: int | None = None) -> DataFrame:
-    """Add ``out`` = running sum of ``value`` in ``order`` (which must be total).
+                  partition_by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """Add ``out`` = running sum of ``value`` per ``partition_by`` in ``order``.
 
+    ``order`` must be total within a key (end it with a unique tie-breaker).
     ``value`` should be exact (integer or decimal) so the result does not
     depend on range boundaries. The range-partitioned input is checkpointed to
     the shared checkpoint folder so both uses see the same ranges, and the
@@ -30,16 +32,46 @@ def running_total(df: DataFrame, order: Sequence[Column], value: str, out: str,
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order)
+    keys = list(partition_by)
+    ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *order)
                 .withColumn("_range", F.spark_partition_id())
                 .checkpoint(eager=True))
-    local_w = (Window.partitionBy("_range").orderBy(*order)
+    local_w = (Window.partitionBy("_range", *keys).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_local", F.sum(value).over(local_w))
-    totals = ranged.groupBy("_range").agg(F.sum(value).alias("_range_total"))
-    # one row per range: the prefix over ranges is over a bounded table
-    before_w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_range", F.sum("_range_total").over(before_w).alias("_offset"))
-    joined = local.join(F.broadcast(offsets), "_range", "left")
+    totals = ranged.groupBy("_range", *keys).agg(F.sum(value).alias("_range_total"))
+    # one row per (range, key): the prefix over earlier ranges is over a small table
+    before_w = (Window.partitionBy(*keys).orderBy("_range")
+                .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select(F.col("_range").alias("_o_range"),
+                            *[F.col(k).alias(f"_o_{i}") for i, k in enumerate(keys)],
+                            F.sum("_range_total").over(before_w).alias("_offset"))
+    cond = [F.col("_range") == F.col("_o_range")] + \
+        [F.col(k).eqNullSafe(F.col(f"_o_{i}")) for i, k in enumerate(keys)]
+    joined = local.join(offsets, cond, "left")
     return (joined.withColumn(out, F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0)))
-                  .drop("_range", "_local", "_offset"))
+                  .drop("_range", "_local", "_offset", "_o_range",
+                        *[f"_o_{i}" for i in range(len(keys))]))
+
+
+def rank_desc(df: DataFrame, partition_by: Sequence[str], value: str, out: str) -> DataFrame:
+    """``rank() over (partition by p order by value desc)`` for non-NULL ``value``.
+
+    The rank of a row is one plus the number of rows of its key with a larger
+    value: rows are first counted per (key, value), those counts get a running
+    total in descending value order, and the ranks join back on (key, value).
+    The input is checkpointed first so its upstream plan runs once for both uses.
+    """
+    keys = list(partition_by)
+    checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.col(value).desc()]
+    cum = running_total(counts, order, "_n", "_cum", partition_by=keys)
+    ranks = cum.select(*[F.col(k).alias(f"_r_{i}") for i, k in enumerate(keys)],
+                       F.col(value).alias("_r_value"),
+                       (F.col("_cum") - F.col("_n") + 1).alias(out))
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{i}")) for i, k in enumerate(keys)] + \
+        [F.col(value) == F.col("_r_value")]
+    return (df.join(ranks, cond, "inner")
+              .drop("_r_value", *[f"_r_{i}" for i in range(len(keys))]))

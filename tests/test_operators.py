@@ -7,7 +7,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from revspark.operators.cumulative import running_total
+from revspark.operators.cumulative import rank_desc, running_total
 from revspark.operators.lookup import left_lookup
 from revspark.operators.quality import check_not_null, check_unique, key_checks, run_checks
 from revspark.operators.spine import month_spine
@@ -73,3 +73,27 @@ def test_month_spine(spark):
     df = spark.createDataFrame([("x",)], "a string")
     out = month_spine(df, "1998-11", "1999-02", "m").select(F.date_format("m", "yyyy-MM")).collect()
     assert [r[0] for r in out] == ["1998-11", "1998-12", "1999-01", "1999-02"]
+
+
+def test_running_total_per_key_with_hot_and_null_keys(spark):
+    rnd = random.Random(11)
+    data = [("hot" if i % 3 == 0 else (None if i % 29 == 0 else f"k{i % 13}"), f"n{i:05d}",
+             rnd.randint(0, 50)) for i in range(2400)]
+    df = spark.createDataFrame(data, "k string, name string, v long")
+    order = [F.desc("v"), F.asc("name")]
+    got = running_total(df, order, "v", "cum", partition_by=["k"], ranges=5)
+    w = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("cum", F.sum("v").over(w))
+    assert rows(got.select("k", "name", "v", "cum")) == rows(want.select("k", "name", "v", "cum"))
+
+
+def test_rank_desc_matches_window_rank(spark):
+    rnd = random.Random(5)
+    data = [("m1" if i % 3 == 0 else f"m{i % 7}", f"a{i}", float(rnd.randint(0, 40)) / 2)
+            for i in range(1800)]
+    data += [(None, "x", 1.0), (None, "y", 1.0), (None, "z", 3.0)]
+    df = spark.createDataFrame(data, "m string, a string, v double")
+    got = rank_desc(df, ["m"], "v", "r")
+    want = df.withColumn("r", F.rank().over(Window.partitionBy("m").orderBy(F.desc("v"))))
+    assert got.columns == ["m", "a", "v", "r"]
+    assert rows(got) == rows(want.select("m", "a", "v", F.col("r").cast("long")))
