@@ -1 +1,6 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+The modelled project is batch only: bounded CSV sources, full-refresh tables,
+no watermark, stream window, stateful operator or late-data rule. Nothing here
+has a streaming counterpart to build.
+"""
