@@ -35,7 +35,9 @@ def test_every_query_has_oracle_except_none():
 def test_raw_tables_have_declared_schemas(spark):
     src = TestdataSource(spark, SF0001)
     for t in RAW_TABLES:
+        assert raw_schema_matches(src.derived(t), t), t
         assert raw_schema_matches(src.table(t), t), t
+        assert src.table(t).count() == src.derived(t).count()
 
 
 def _norm(v):
