@@ -7,6 +7,7 @@ gives the same plan object. Nothing runs until an action or a write.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -20,9 +21,13 @@ Source = Callable[[str], DataFrame]
 
 
 class Project:
-    def __init__(self, source: Source, quota_keys: tuple[str, ...] = ("quota_id",)):
+    def __init__(self, source: Source, quota_keys: tuple[str, ...] = ("quota_id",),
+                 namespace: str | None = None):
         self.source = source
         self.quota_keys = quota_keys
+        folder = getattr(source, "sf_dir", None)
+        self.namespace = namespace or (f"models/{folder}/{'-'.join(quota_keys)}" if folder
+                                       else f"models/{uuid.uuid4().hex}")
 
     def raw(self, name: str) -> DataFrame:
         return self.source(name)
@@ -77,6 +82,13 @@ class Project:
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def stored(self, name: str) -> DataFrame:
+        """Model ``name`` as a stored table (how marts are materialised): written
+        once per application under the shared checkpoint folder, then read."""
+        from revspark.sources.sinks import land_once
+        spark = self.model(name).sparkSession
+        return land_once(spark, self.namespace, name, lambda: self.model(name))
+
 
 STAGING_MODELS = list(S.STAGING)
 INTERMEDIATE_MODELS = ["int_deal_economics", "int_sales_performance", "int_customer_health"]

@@ -91,30 +91,32 @@ _STEPS: dict[str, Callable[[Project], DataFrame]] = {
     "ticket_summary": lambda p: I.ticket_summary(p.stg_support_tickets),
     "revenue_summary": lambda p: I.revenue_summary(p.int_deal_economics),
 }
+# Dashboard metrics read the marts as stored tables, as a BI tool reads them.
 _MART_STEPS: dict[str, Callable[[Project], DataFrame]] = {
     # data quality
     "dq_unique": lambda p: Q.check_unique(p.raw("quotas"), "quota_id"),
     "dq_not_null": lambda p: Q.check_not_null(p.stg_sales_pipeline, "account_name"),
     "dq_suite": lambda p: dq_suite(p),
     # dashboard metrics
-    "kpi_executive": lambda p: DSH.kpi_executive(p.fct_sales_pipeline),
-    "revenue_by_product": lambda p: DSH.revenue_by_product(p.fct_sales_pipeline),
-    "product_growth": lambda p: DSH.product_growth(p.fct_sales_pipeline),
-    "revenue_by_region": lambda p: DSH.revenue_by_region(p.fct_sales_pipeline, p.dim_sales_teams),
-    "stage_mix": lambda p: DSH.stage_mix(p.fct_sales_pipeline),
-    "avg_attainment": lambda p: DSH.avg_attainment(p.fct_sales_performance),
-    "product_pnl": lambda p: DSH.product_pnl(p.fct_sales_pipeline),
-    "product_win_cycle": lambda p: DSH.product_win_cycle(p.fct_sales_pipeline),
-    "profit_pareto": lambda p: DSH.profit_pareto(p.fct_sales_pipeline),
-    "revenue_per_hour": lambda p: DSH.revenue_per_hour(p.fct_sales_performance),
-    "effort_vs_revenue": lambda p: DSH.effort_vs_revenue(p.fct_sales_performance),
-    "quota_exceeders": lambda p: DSH.quota_exceeders(p.fct_sales_performance),
-    "tier_distribution": lambda p: DSH.tier_distribution(p.fct_sales_performance),
-    "attainment_heatmap": lambda p: DSH.attainment_heatmap(p.fct_sales_performance),
-    "accounts_at_risk": lambda p: DSH.accounts_at_risk(p.dim_accounts),
-    "rolling_attainment": lambda p: DSH.rolling_attainment(p.fct_sales_performance),
-    "quota_leaderboard": lambda p: DSH.quota_leaderboard(p.fct_sales_performance),
-    "mart_filter": lambda p: DSH.mart_filter(p.fct_sales_performance),
+    "kpi_executive": lambda p: DSH.kpi_executive(p.stored("fct_sales_pipeline")),
+    "revenue_by_product": lambda p: DSH.revenue_by_product(p.stored("fct_sales_pipeline")),
+    "product_growth": lambda p: DSH.product_growth(p.stored("fct_sales_pipeline")),
+    "revenue_by_region": lambda p: DSH.revenue_by_region(p.stored("fct_sales_pipeline"),
+                                                         p.stored("dim_sales_teams")),
+    "stage_mix": lambda p: DSH.stage_mix(p.stored("fct_sales_pipeline")),
+    "avg_attainment": lambda p: DSH.avg_attainment(p.stored("fct_sales_performance")),
+    "product_pnl": lambda p: DSH.product_pnl(p.stored("fct_sales_pipeline")),
+    "product_win_cycle": lambda p: DSH.product_win_cycle(p.stored("fct_sales_pipeline")),
+    "profit_pareto": lambda p: DSH.profit_pareto(p.stored("fct_sales_pipeline")),
+    "revenue_per_hour": lambda p: DSH.revenue_per_hour(p.stored("fct_sales_performance")),
+    "effort_vs_revenue": lambda p: DSH.effort_vs_revenue(p.stored("fct_sales_performance")),
+    "quota_exceeders": lambda p: DSH.quota_exceeders(p.stored("fct_sales_performance")),
+    "tier_distribution": lambda p: DSH.tier_distribution(p.stored("fct_sales_performance")),
+    "attainment_heatmap": lambda p: DSH.attainment_heatmap(p.stored("fct_sales_performance")),
+    "accounts_at_risk": lambda p: DSH.accounts_at_risk(p.stored("dim_accounts")),
+    "rolling_attainment": lambda p: DSH.rolling_attainment(p.stored("fct_sales_performance")),
+    "quota_leaderboard": lambda p: DSH.quota_leaderboard(p.stored("fct_sales_performance")),
+    "mart_filter": lambda p: DSH.mart_filter(p.stored("fct_sales_performance")),
     # quota and customer derivations
     "agent_baseline": lambda p: TG.agent_baseline(p.stg_sales_pipeline),
     "month_spine": lambda p: TG.agent_month_spine(p.stg_sales_teams),

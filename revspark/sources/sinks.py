@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import os
+import threading
+import uuid
+from collections import defaultdict
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revspark.session import scratch_path
+
 # Independent tables are written by this many concurrent Spark jobs (the
 # modelled project runs four models at a time).
 DEFAULT_THREADS = 4
@@ -53,3 +58,33 @@ def export_csv(df: DataFrame, path: str) -> None:
     """SNK-03: CSV with a header row, no index column."""
     (df.write.mode("overwrite").option("header", True)
        .option("dateFormat", "yyyy-MM-dd").csv(path))
+
+
+# (application, namespace, table) -> folder of the written table
+_LANDED: dict[tuple[str, str, str], str] = {}
+_LOCKS: defaultdict[tuple[str, str, str], threading.Lock] = defaultdict(threading.Lock)
+_REGISTRY_LOCK = threading.Lock()
+_RUN = uuid.uuid4().hex[:12]
+
+
+def land_once(spark: SparkSession, namespace: str, name: str,
+              build: Callable[[], DataFrame]) -> DataFrame:
+    """Write ``build()`` once per application under the shared checkpoint folder
+    and return a reader of the written table.
+
+    Concurrent callers of the same table wait for one writer; different tables
+    are written concurrently. The written files, not the lineage, are what
+    later queries read (and what a lost executor recomputes from).
+    """
+    key = (spark.sparkContext.applicationId, namespace, name)
+    with _REGISTRY_LOCK:
+        lock = _LOCKS[key]
+    with lock:
+        if key not in _LANDED:
+            df = build()
+            folder = namespace.strip("/").replace("/", "_")
+            path = scratch_path(spark, f"tables-{_RUN}/{folder}/{name}")
+            write_table(df, path)
+            _LANDED[key] = (path, df.schema)
+    path, schema = _LANDED[key]
+    return spark.read.schema(schema).parquet(path)
