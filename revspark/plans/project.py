@@ -89,6 +89,12 @@ class Project:
         spark = self.model(name).sparkSession
         return land_once(spark, self.namespace, name, lambda: self.model(name))
 
+    def stored_many(self, names: list[str]) -> dict[str, DataFrame]:
+        """``stored`` for several models, written as concurrent jobs."""
+        from revspark.sources.sinks import run_concurrently
+        tables = run_concurrently([lambda n=n: self.stored(n) for n in names])
+        return dict(zip(names, tables))
+
 
 STAGING_MODELS = list(S.STAGING)
 INTERMEDIATE_MODELS = ["int_deal_economics", "int_sales_performance", "int_customer_health"]

@@ -38,7 +38,9 @@ def dq_suite(project: Project, models: dict[str, DataFrame] | None = None) -> Da
     tests of views evaluate the view.
     """
     models = dict(models or {})
+    missing_marts = [m for m, _ in TESTED_KEYS if m in MART_TABLES and m not in models]
+    models.update(project.stored_many(missing_marts))
     for m, _ in TESTED_KEYS:
         if m not in models:
-            models[m] = project.stored(m) if m in MART_TABLES else project.model(m)
+            models[m] = project.model(m)
     return run_checks(models, TESTED_KEYS)
