@@ -18,7 +18,13 @@ from revspark.plans.quality import dq_suite
 from revspark.sources.sinks import write_marts, write_table
 
 
-def run(spark: SparkSession, project: Project, out_root: str) -> dict[str, DataFrame]:
+# The performance fact is written in month directories: dashboard filters on
+# months read only the matching files.
+MART_PARTITIONS = {"fct_sales_performance": ["period_month"]}
+
+
+def run(spark: SparkSession, project: Project, out_root: str,
+        partitions: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
     """Build every mart under ``out_root``; returns readers of the written tables
     plus ``dq_results``."""
     deals_path = os.path.join(out_root, "int_deal_economics")
@@ -27,7 +33,8 @@ def run(spark: SparkSession, project: Project, out_root: str) -> dict[str, DataF
     project = Project(project.source, project.quota_keys)
     project.__dict__["int_deal_economics"] = spark.read.parquet(deals_path)
 
-    written = write_marts(spark, {m: project.model(m) for m in MART_MODELS}, out_root)
+    written = write_marts(spark, {m: project.model(m) for m in MART_MODELS}, out_root,
+                          partitions=MART_PARTITIONS if partitions is None else partitions)
     written["int_deal_economics"] = project.int_deal_economics
 
     dq_path = os.path.join(out_root, "dq_results")

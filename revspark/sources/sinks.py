@@ -46,12 +46,21 @@ def register_views(models: dict[str, DataFrame]) -> None:
 
 
 def write_marts(spark: SparkSession, models: dict[str, DataFrame], root: str,
-                threads: int = DEFAULT_THREADS) -> dict[str, DataFrame]:
-    """SNK-02: materialise each model as a table and return readers of the written data."""
+                threads: int = DEFAULT_THREADS,
+                partitions: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    """SNK-02: materialise each model as a table and return readers of the written data.
+
+    ``partitions`` names partition columns per model (directory partitioning,
+    so filters on them prune files); readers keep the model's column order.
+    """
+    partitions = partitions or {}
     paths = {name: os.path.join(root, name) for name in models}
-    run_concurrently([lambda n=n, df=df: write_table(df, paths[n]) for n, df in models.items()],
-                     threads)
-    return {name: spark.read.parquet(path) for name, path in paths.items()}
+    run_concurrently([lambda n=n, df=df: write_table(df, paths[n], partitions.get(n))
+                      for n, df in models.items()], threads)
+    out = {}
+    for name, df in models.items():
+        out[name] = spark.read.schema(df.schema).parquet(paths[name]).select(*df.columns)
+    return out
 
 
 def export_csv(df: DataFrame, path: str) -> None:

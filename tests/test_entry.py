@@ -94,3 +94,13 @@ def test_pipeline_writes_marts_and_tests_pass(spark, tmp_dir):
             "fct_sales_performance", "dq_results"} <= set(out)
     dq = out["dq_results"].collect()
     assert len(dq) == 30 and all(r.status == "pass" for r in dq)
+
+
+def test_written_performance_fact_prunes_months(spark, tmp_dir):
+    from revspark.plans.metrics import mart_filter
+    out = run(spark, project(spark, SF0001), os.path.join(tmp_dir, "marts2"))
+    perf = out["fct_sales_performance"]
+    assert perf.columns == project(spark, SF0001).fct_sales_performance.columns
+    plan = mart_filter(perf)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(period_month" in plan
+    assert mart_filter(perf).count() == mart_filter(project(spark, SF0001).fct_sales_performance).count()
