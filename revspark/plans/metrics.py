@@ -202,12 +202,20 @@ def tier_distribution(perf: DataFrame) -> DataFrame:
 
 
 # DSH-14
-def attainment_heatmap(perf: DataFrame) -> DataFrame:
-    """Average attainment by the quota row's regional office and month."""
-    agg = (perf.filter(F.col("quota_attainment_pct").isNotNull())
-               .groupBy("regional_office", "period_month")
-               .agg(F.count(F.lit(1)).alias("agent_months"),
-                    _sum_tenths("quota_attainment_pct").alias("_s")))
+def attainment_heatmap(perf: DataFrame, teams: DataFrame | None = None) -> DataFrame:
+    """Average attainment by regional office and month.
+
+    The region is the quota row's (the mart's own column) by default; with
+    ``teams`` it is the agent's office from the team table instead, which also
+    places agents whose quota row was lost to the id dedup.
+    """
+    rated = perf.filter(F.col("quota_attainment_pct").isNotNull())
+    if teams is not None:
+        rated = rated.drop("regional_office").join(
+            teams.select("agent_name", "regional_office"), "agent_name", "left")
+    agg = (rated.groupBy("regional_office", "period_month")
+                .agg(F.count(F.lit(1)).alias("agent_months"),
+                     _sum_tenths("quota_attainment_pct").alias("_s")))
     return agg.select("regional_office", "period_month", "agent_months",
                       round_half_up(F.col("_s") / F.col("agent_months").cast("double"), 2)
                       .alias("avg_attainment_pct"))

@@ -85,3 +85,15 @@ def test_accounts_at_risk_is_top_k_by_health(spark):
         "avg_nps_score double, high_priority_tickets bigint, lifetime_revenue_usd double")
     got = DSH.accounts_at_risk(acc, k=3).collect()
     assert [r.account_name for r in got] == ["a1", "a3", "a5"]
+
+
+def test_heatmap_region_source(spark):
+    teams = spark.createDataFrame([("ann", "north"), ("bob", "north")],
+                                  "agent_name string, regional_office string")
+    by_quota = {(r.regional_office, r.period_month): r.avg_attainment_pct
+                for r in DSH.attainment_heatmap(perf(spark)).collect()}
+    assert by_quota[("east", "1998-01")] == 100.0 and by_quota[("west", "1998-01")] == 150.0
+    by_team = {(r.regional_office, r.period_month): (r.agent_months, r.avg_attainment_pct)
+               for r in DSH.attainment_heatmap(perf(spark), teams).collect()}
+    assert by_team[("north", "1998-01")] == (2, 150.0)
+    assert by_team[(None, "1998-01")] == (1, 50.0)
