@@ -13,7 +13,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,13 +26,11 @@ def main() -> None:
 
     from revspark.plans.pipeline import run
     from revspark.queries import QUERIES, project
-    from revspark.session import get_spark
+    from revspark.session import checkpoint_dir, get_spark
 
     spark = get_spark(f"local[{cpus}]", app="revspark-bench", shuffle_partitions=2 * cpus,
                       extra={"spark.driver.memory": "16g"})
-    scratch = tempfile.mkdtemp(prefix="revspark-bench-")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
+    scratch = os.path.join(checkpoint_dir(spark), f"bench-{os.getpid()}-{int(time.time())}")
 
     def timed(fn) -> float:
         runs = []

@@ -45,23 +45,28 @@ def get_spark(master: str | None = None, app: str = "revspark",
     return spark
 
 
+# application id -> fallback folder for local sessions without spark.checkpoint.dir
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` from the session. Only a local-mode session
-    without that setting (tests, laptops) gets a fresh temporary folder; a
-    cluster without it is a configuration error, because a machine-local
-    folder would not survive the loss of that machine.
+    Uses ``spark.checkpoint.dir`` from the session (or a checkpoint folder the
+    application already set). Only a local-mode session without either (tests,
+    laptops) gets a fresh temporary folder; a cluster without it is a
+    configuration error, because a machine-local folder would not survive the
+    loss of that machine.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or _LOCAL_FALLBACK.get(sc.applicationId)
     if not path:
-        master = conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
-        path = tempfile.mkdtemp(prefix="revspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        path = _LOCAL_FALLBACK.setdefault(sc.applicationId,
+                                          tempfile.mkdtemp(prefix="revspark-ckpt-"))
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 

@@ -14,9 +14,9 @@ SF0001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from revspark.session import get_spark
+    # spark.checkpoint.dir comes from the environment when set; otherwise the
+    # library falls back to a temporary folder for local sessions
     s = get_spark("local[4]", app="revspark-tests", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="revspark-test-ckpt-"))
     yield s
     s.stop()
 
