@@ -20,10 +20,28 @@ DEFAULT_CONF = {
     # this are broadcast; everything else is a shuffled join
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # AQE coalesces small shuffle partitions up to, and splits skewed ones
+    # down to, about this size
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    # scan splits (Parquet row groups are packed up to this size per task)
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
+def sizing(input_bytes: int, total_cores: int,
+           target_partition_bytes: int = 200 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle settings for a job reading ``input_bytes`` on ``total_cores``.
+
+    Starts with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the input (and at least two waves of tasks);
+    AQE then merges the ones that turn out small after map-side combining.
+    """
+    n = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {"spark.sql.shuffle.partitions": str(n),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n)}
+
+
 def get_spark(master: str | None = None, app: str = "revspark",
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
