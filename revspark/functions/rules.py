@@ -113,20 +113,23 @@ def churn_risk(avg_nps: Column | str, high_tickets: Column | str, avg_csat: Colu
 
 
 # SCA-12
-def account_tier(revenue: Column | str) -> Column:
-    return tiered(revenue, ACCOUNT_TIERS, ACCOUNT_TIER_DEFAULT)
+def account_tier(revenue: Column | str, tiers: list[tuple[float, str]] = ACCOUNT_TIERS,
+                 default: str = ACCOUNT_TIER_DEFAULT) -> Column:
+    return tiered(revenue, tiers, default)
 
 
 # SCA-13
-def margin_tier(margin_pct: Column | str) -> Column:
-    return tiered(margin_pct, MARGIN_TIERS, MARGIN_TIER_DEFAULT)
+def margin_tier(margin_pct: Column | str, tiers: list[tuple[float, str]] = MARGIN_TIERS,
+                default: str = MARGIN_TIER_DEFAULT) -> Column:
+    return tiered(margin_pct, tiers, default)
 
 
 # SCA-14
-def performance_tier(attainment: Column | str) -> Column:
+def performance_tier(attainment: Column | str,
+                     tiers: list[tuple[float, str]] = PERFORMANCE_TIERS) -> Column:
     a = _c(attainment)
     out = None
-    for bound, label in PERFORMANCE_TIERS:
+    for bound, label in tiers:
         out = F.when(a >= bound, F.lit(label)) if out is None else out.when(a >= bound, F.lit(label))
     return out.when(a.isNotNull(), F.lit(PERFORMANCE_TIER_UNDER)).otherwise(F.lit(PERFORMANCE_TIER_NONE))
 

@@ -55,13 +55,13 @@ def agent_revenue(deals: DataFrame) -> DataFrame:
                  F.avg("days_in_pipeline").alias("avg_days_in_pipeline")))
 
 
-def agent_effort(activities: DataFrame) -> DataFrame:
+def agent_effort(activities: DataFrame, positive: str = R.POSITIVE_OUTCOME) -> DataFrame:
     """AGG-02: activities per agent and month."""
     return (activities
             .groupBy(F.col("agent_name"), R.month_key("activity_date").alias("activity_month"))
             .agg(F.count(F.lit(1)).alias("total_activities"),
                  F.sum("duration_minutes").alias("total_minutes"),
-                 F.count_if(F.col("outcome") == R.POSITIVE_OUTCOME).alias("positive_outcomes")))
+                 F.count_if(F.col("outcome") == positive).alias("positive_outcomes")))
 
 
 PERFORMANCE_COLUMNS = [
@@ -81,7 +81,8 @@ def _keyed(df: DataFrame, agent: str, month, tag: str) -> DataFrame:
     })
 
 
-def int_sales_performance(deals: DataFrame, quotas: DataFrame, activities: DataFrame) -> DataFrame:
+def int_sales_performance(deals: DataFrame, quotas: DataFrame, activities: DataFrame,
+                          positive: str = R.POSITIVE_OUTCOME) -> DataFrame:
     """Revenue FULL JOIN quotas FULL JOIN effort on (agent, month) (JN-03, JN-04).
 
     Revenue and effort both aggregate raw rows to (agent, month), so instead of
@@ -111,7 +112,7 @@ def int_sales_performance(deals: DataFrame, quotas: DataFrame, activities: DataF
                F.avg("_days").alias("r_days"),
                F.count("_e").alias("e_count"),
                F.sum("_minutes").alias("e_minutes"),
-               F.count_if(F.col("_outcome") == R.POSITIVE_OUTCOME).alias("e_positive")))
+               F.count_if(F.col("_outcome") == positive).alias("e_positive")))
     q = quotas.select(F.col("agent_name").alias("_q_agent"), F.col("quota_month").alias("_q_month"),
                       "manager_name", "regional_office", "quota_amount_usd")
     j = re.join(q, (re._agent == q._q_agent) & (re._month == q._q_month), "full")
@@ -147,11 +148,11 @@ def nps_summary(surveys: DataFrame) -> DataFrame:
         F.avg("nps_score").alias("avg_nps_score"), F.count(F.lit(1)).alias("total_surveys"))
 
 
-def ticket_summary(tickets: DataFrame) -> DataFrame:
-    """AGG-04."""
+def ticket_summary(tickets: DataFrame, high: str = R.HIGH_PRIORITY) -> DataFrame:
+    """AGG-04. ``high`` is compared case-sensitively, as in the modelled SQL."""
     return tickets.groupBy("account_name").agg(
         F.count(F.lit(1)).alias("total_tickets"),
-        F.count_if(F.col("ticket_priority") == R.HIGH_PRIORITY).alias("high_priority_tickets"),
+        F.count_if(F.col("ticket_priority") == high).alias("high_priority_tickets"),
         F.avg("resolution_hours").alias("avg_resolution_hours"),
         F.avg("satisfaction_rating").alias("avg_satisfaction_rating"))
 
@@ -173,7 +174,8 @@ HEALTH_COLUMNS = [
     "deals_won", "total_revenue_usd", "last_deal_date", "health_score", "churn_risk"]
 
 
-def account_signals(surveys: DataFrame, tickets: DataFrame, deals: DataFrame) -> DataFrame:
+def account_signals(surveys: DataFrame, tickets: DataFrame, deals: DataFrame,
+                    high: str = R.HIGH_PRIORITY) -> DataFrame:
     """AGG-03, AGG-04 and AGG-05 in one aggregation over the union of their rows.
 
     One shuffle by account instead of three; partial aggregation runs before it,
@@ -199,7 +201,7 @@ def account_signals(surveys: DataFrame, tickets: DataFrame, deals: DataFrame) ->
     agg = u.groupBy("account_name").agg(
         F.count("_s").alias("_ns"), F.avg("_nps").alias("avg_nps_score"),
         F.count("_t").alias("_nt"),
-        F.count_if(F.col("_prio") == R.HIGH_PRIORITY).alias("high_priority_tickets"),
+        F.count_if(F.col("_prio") == high).alias("high_priority_tickets"),
         F.avg("_hours").alias("avg_resolution_hours"),
         F.avg("_csat").alias("avg_satisfaction_rating"),
         F.count("_d").alias("_nd"), F.count_if("_won").alias("deals_won"),
@@ -220,11 +222,11 @@ def account_signals(surveys: DataFrame, tickets: DataFrame, deals: DataFrame) ->
 
 
 def int_customer_health(accounts: DataFrame, surveys: DataFrame, tickets: DataFrame,
-                        deals: DataFrame) -> DataFrame:
+                        deals: DataFrame, high: str = R.HIGH_PRIORITY) -> DataFrame:
     """accounts LEFT JOIN latest NPS, NPS, ticket and revenue summaries; health and churn."""
     a = accounts.select("account_name", "sector", "annual_revenue_usd", "employee_count")
     j = (a.join(latest_nps(surveys), "account_name", "left")
-          .join(account_signals(surveys, tickets, deals), "account_name", "left"))
+          .join(account_signals(surveys, tickets, deals, high), "account_name", "left"))
     zero = F.lit(0).cast("bigint")
     out = j.select(
         "account_name", "sector", "annual_revenue_usd", "employee_count",

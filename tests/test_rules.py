@@ -118,3 +118,13 @@ def test_money_sum_is_exact(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (None,)], "v double")
     assert df.agg(money_sum("v")).first()[0] == 0.3
     assert spark.createDataFrame([(None,)], "v double").agg(money_sum("v")).first()[0] is None
+
+
+def test_thresholds_are_parameters(spark):
+    # the modelled data keeps revenue in millions and margins as fractions, so
+    # the default thresholds never fire there; scaled thresholds do
+    assert one(spark, R.account_tier("r", [(500, "Enterprise"), (100, "Mid-Market")]),
+               "r double", 1100.04) == "Enterprise"
+    assert one(spark, R.margin_tier("m", [(0.40, "High Margin"), (0.25, "Medium Margin")]),
+               "m double", 0.5035) == "High Margin"
+    assert one(spark, R.performance_tier("a", [(100, "Hit")]), "a double", 100.0) == "Hit"
