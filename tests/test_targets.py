@@ -101,3 +101,22 @@ def test_unit_costs(spark):
     r = got[0]
     assert (r.cogs_usd, r.shipping_cost_usd, r.support_cost_per_unit_usd) == (450.0, 30.0, 50.0)
     assert (r.sales_commission_pct, r.gross_margin_pct) == (0.08, 0.55)
+
+
+def test_quota_id_collisions_and_dedup(spark):
+    """Three-letter ids collide across agents; the id-only dedup keeps the larger
+    quota each month, so an agent with a smaller baseline loses every month,
+    while keys=("quota_id", "agent_name") keeps both agents."""
+    from revspark.plans.staging import stg_quotas
+    teams = spark.createDataFrame([("Markita Hansen", "m", "west"), ("Marty Freudenburg", "m", "west"),
+                                   ("Carl Lin", "n", "east")],
+                                  "agent_name string, manager_name string, regional_office string")
+    p = pipeline(spark, [("o1", "Markita Hansen", "a", "Won", None, D(1998, 1, 5), 90000.0),
+                         ("o2", "Marty Freudenburg", "a", "Won", None, D(1998, 1, 5), 10000.0)])
+    raw = TG.quota_targets(teams, p)
+    assert raw.count() == 36 and raw.select("quota_id").distinct().count() == 24
+    kept = stg_quotas(raw)
+    assert kept.count() == 24
+    agents = {r.agent_name for r in kept.collect()}
+    assert agents == {"Markita Hansen", "Carl Lin"}           # Marty loses all 12 months
+    assert stg_quotas(raw, keys=("quota_id", "agent_name")).count() == 36
