@@ -104,3 +104,15 @@ def test_written_performance_fact_prunes_months(spark, tmp_dir):
     plan = mart_filter(perf)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(period_month" in plan
     assert mart_filter(perf).count() == mart_filter(project(spark, SF0001).fct_sales_performance).count()
+
+
+def test_models_as_views(spark):
+    from revspark.plans.project import VIEW_MODELS
+    from revspark.sources.sinks import register_views
+    p = project(spark, SF0001)
+    register_views({m: p.model(m) for m in VIEW_MODELS})
+    n = spark.sql("select count(*) from int_deal_economics where is_won").first()[0]
+    assert n == p.fct_sales_pipeline.filter("is_won").count() > 0
+    joined = spark.sql("""select count(*) from stg_quotas q join stg_sales_teams t
+                          on q.agent_name = t.agent_name""").first()[0]
+    assert joined == p.stg_quotas.count()
