@@ -136,3 +136,14 @@ for _n, _f in _MART_STEPS.items():
     QUERIES[_n] = _step(_f, _n)
 QUERIES["load_audit"] = load_audit
 QUERIES["csv_roundtrip"] = csv_roundtrip
+
+
+def query_on(p: Project, name: str) -> DataFrame:
+    """A registered query over an existing project (e.g. one reading a warehouse)."""
+    if name in _STEPS:
+        return _STEPS[name](p)
+    if name in _MART_STEPS:
+        return _MART_STEPS[name](p)
+    if name in STAGING_MODELS + INTERMEDIATE_MODELS + MART_MODELS:
+        return p.model(name)
+    raise KeyError(f"{name} is not a model or metric query")
