@@ -1 +1 @@
-"""functions."""
+"""Column -> Column functions: business rules and exact money arithmetic."""
