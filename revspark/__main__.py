@@ -25,9 +25,9 @@ class BuiltProject(Project):
     """The model DAG over a warehouse, reading marts from a build folder."""
 
     def __init__(self, warehouse: str, marts: str):
+        from revspark.sources.binding import parquet_source
         self._spark = get_spark()
-        super().__init__(lambda t: self._spark.read.parquet(os.path.join(warehouse, t)),
-                         namespace=f"models/{warehouse}")
+        super().__init__(parquet_source(self._spark, warehouse), namespace=f"models/{warehouse}")
         self.marts = marts
 
     def stored(self, name: str) -> DataFrame:

@@ -58,3 +58,16 @@ def test_header_matching_by_name(spark, tmp_dir):
     write(path, "series,extra,product\nGTX,1,GTX Pro\n")
     df = read_raw(spark, path, TableSpec("products", "t.csv", "x"))
     assert [tuple(r) for r in df.collect()] == [("GTX Pro", "GTX", None)]
+
+
+def test_source_bindings(spark, tmp_dir):
+    from revspark.plans.project import Project
+    from revspark.sources.binding import catalog_source, parquet_source
+    landing, wh = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "wh")
+    write(os.path.join(landing, "raw", "products.csv"),
+          "product,series,sales_price\nGTX Pro,GTX,4821\nMG Special,MG,55\n")
+    ingest(spark, landing, wh)
+    p = Project(parquet_source(spark, wh))
+    assert sorted(r.product_name for r in p.stg_products.collect()) == ["GTX Pro", "MG Special"]
+    p.stg_products.createOrReplaceTempView("products")
+    assert catalog_source(spark)("products").count() == 2
