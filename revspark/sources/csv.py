@@ -71,22 +71,22 @@ def read_raw(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return text.select(*cols)
 
 
+def read_or_none(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame | None:
+    """One table's CSV, or None when its file is missing."""
+    try:
+        df = read_raw(spark, os.path.join(root, spec.file), spec)
+        df.schema  # noqa: B018  resolve now so a missing path surfaces here
+        return df
+    except AnalysisException as ex:
+        if "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex):
+            return None
+        raise
+
+
 def load_all(spark: SparkSession, root: str,
              tables: dict[str, TableSpec] = TABLES) -> dict[str, DataFrame | None]:
     """SRC-05: every registered table, or None when its file is missing."""
-    out: dict[str, DataFrame | None] = {}
-    for name, spec in tables.items():
-        path = os.path.join(root, spec.file)
-        try:
-            df = read_raw(spark, path, spec)
-            df.schema  # noqa: B018  resolve now so a missing path surfaces here
-            out[name] = df
-        except AnalysisException as ex:
-            if "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex):
-                out[name] = None
-            else:
-                raise
-    return out
+    return {name: read_or_none(spark, root, spec) for name, spec in tables.items()}
 
 
 def ingest(spark: SparkSession, landing_root: str, warehouse_root: str,
@@ -100,8 +100,9 @@ def ingest(spark: SparkSession, landing_root: str, warehouse_root: str,
     """
     from revspark.sources.sinks import DEFAULT_THREADS, run_concurrently, write_table
 
-    def load(name: str, df: DataFrame | None) -> tuple:
+    def load(name: str) -> tuple:
         spec = tables[name]
+        df = read_or_none(spark, landing_root, spec)
         if df is None:
             return (name, spec.source_system, None, "missing")
         obs = Observation(f"load_{name}")
@@ -109,9 +110,7 @@ def ingest(spark: SparkSession, landing_root: str, warehouse_root: str,
                     os.path.join(warehouse_root, name))
         return (name, spec.source_system, int(obs.get["rows"]), "loaded")
 
-    found = load_all(spark, landing_root, tables)
-    audit = run_concurrently([lambda n=n, df=df: load(n, df) for n, df in found.items()],
-                             threads or DEFAULT_THREADS)
+    audit = run_concurrently([lambda n=n: load(n) for n in tables], threads or DEFAULT_THREADS)
     total = sum(r[2] or 0 for r in audit)
     audit.append(("TOTAL", None, total, "loaded"))
     # a dozen rows of load metadata, not data
