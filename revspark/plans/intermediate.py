@@ -72,12 +72,14 @@ PERFORMANCE_COLUMNS = [
 
 def _keyed(df: DataFrame, agent: str, month, tag: str) -> DataFrame:
     """Add the (agent, month) key and a tag that keeps NULL-keyed rows of each
-    input in groups of their own: in the join formulation a NULL key never
-    meets a row of another input."""
+    input in groups of their own (in the join formulation a NULL key never
+    meets a row of another input). The tag is '' for fully keyed rows, so it
+    can also be a join key: the aggregate's partitioning on (agent, month, tag)
+    then serves the join with the quotas without another shuffle."""
     a, m = F.col(agent), month
     return df.withColumns({
         "_agent": a, "_month": m,
-        "_nullkey": F.when(a.isNull() | m.isNull(), F.lit(tag)),
+        "_nullkey": F.when(a.isNull() | m.isNull(), F.lit(tag)).otherwise(F.lit("")),
     })
 
 
@@ -113,9 +115,13 @@ def int_sales_performance(deals: DataFrame, quotas: DataFrame, activities: DataF
                F.count("_e").alias("e_count"),
                F.sum("_minutes").alias("e_minutes"),
                F.count_if(F.col("_outcome") == positive).alias("e_positive")))
-    q = quotas.select(F.col("agent_name").alias("_q_agent"), F.col("quota_month").alias("_q_month"),
-                      "manager_name", "regional_office", "quota_amount_usd")
-    j = re.join(q, (re._agent == q._q_agent) & (re._month == q._q_month), "full")
+    q = _keyed(quotas, "agent_name", F.col("quota_month"), "q").select(
+        F.col("_agent").alias("_q_agent"), F.col("_month").alias("_q_month"),
+        F.col("_nullkey").alias("_q_nullkey"),
+        "manager_name", "regional_office", "quota_amount_usd")
+    # NULL agents or months never match (as in the join chain); keyed rows meet on tag ''
+    j = re.join(q, (re._agent == q._q_agent) & (re._month == q._q_month)
+                & (re._nullkey == q._q_nullkey), "full")
     zero = F.lit(0)
     return j.select(
         F.coalesce("_agent", "_q_agent").alias("agent_name"),
