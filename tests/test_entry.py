@@ -116,3 +116,16 @@ def test_models_as_views(spark):
     joined = spark.sql("""select count(*) from stg_quotas q join stg_sales_teams t
                           on q.agent_name = t.agent_name""").first()[0]
     assert joined == p.stg_quotas.count()
+
+
+def test_command_line_workflow(spark, tmp_dir, capsys):
+    from revspark.__main__ import main
+    from revspark.queries import export_landing
+    landing, wh, marts = (os.path.join(tmp_dir, d) for d in ("landing", "wh", "marts"))
+    export_landing(spark, SF0001, landing)
+    assert main(["load", landing, wh]) == 0
+    assert main(["build", wh, marts]) == 0
+    assert main(["test", wh, marts]) == 0
+    assert main(["query", "kpi_executive", wh, marts]) == 0
+    out = capsys.readouterr().out
+    assert "TOTAL" in out and "total_revenue_usd" in out   # exit codes 0: all tests passed
