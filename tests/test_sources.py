@@ -71,3 +71,19 @@ def test_source_bindings(spark, tmp_dir):
     assert sorted(r.product_name for r in p.stg_products.collect()) == ["GTX Pro", "MG Special"]
     p.stg_products.createOrReplaceTempView("products")
     assert catalog_source(spark)("products").count() == 2
+
+
+def test_land_once_under_concurrent_callers(spark):
+    from revspark.sources.sinks import land_once, run_concurrently
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(1000).withColumnRenamed("id", "k")
+
+    ns = f"test/{os.getpid()}/{id(calls)}"
+    readers = run_concurrently([lambda: land_once(spark, ns, "t", build) for _ in range(6)], threads=6)
+    assert len(calls) == 1                       # built and written once
+    assert all(r.count() == 1000 for r in readers)
+    assert land_once(spark, ns, "t", build).agg({"k": "sum"}).first()[0] == sum(range(1000))
+    assert len(calls) == 1
