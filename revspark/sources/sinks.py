@@ -69,8 +69,8 @@ def export_csv(df: DataFrame, path: str) -> None:
        .option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
-# (application, namespace, table) -> folder of the written table
-_LANDED: dict[tuple[str, str, str], str] = {}
+# (application, namespace, table) -> (folder of the written table, its schema)
+_LANDED: dict[tuple[str, str, str], tuple[str, object]] = {}
 _LOCKS: defaultdict[tuple[str, str, str], threading.Lock] = defaultdict(threading.Lock)
 _REGISTRY_LOCK = threading.Lock()
 _RUN = uuid.uuid4().hex[:12]
