@@ -177,3 +177,51 @@ def test_customer_health_equals_join_chain(spark):
     assert by["a4"].churn_risk == "High" and by["a3"].churn_risk == "Medium"
     assert by["a1"].latest_nps_score == 3 and by["a4"].latest_nps_score == 3  # tie: largest id
     assert by["a3"].total_surveys is None and by["a5"].total_tickets == 1
+
+
+def test_sales_performance_random_inputs(spark):
+    import random
+    for seed in (1, 2, 3):
+        rnd = random.Random(seed)
+        agents = [None, "a", "b", "c", "d", "e"]
+        def day():
+            return None if rnd.random() < 0.1 else D(2020, rnd.randint(1, 4), rnd.randint(1, 28))
+        deals = [(rnd.choice(agents), rnd.choice(["Won", "Won", "Lost", None]), day(),
+                  rnd.choice([None, float(rnd.randint(0, 500))]), float(rnd.randint(-50, 50)),
+                  rnd.randint(-5, 90), None, "x") for _ in range(150)]
+        deals = [d[:6] + (d[1] == "Won",) + d[7:] for d in deals]
+        quotas = [(rnd.choice(agents), rnd.choice([None, "2020-01", "2020-02", "2020-03", "2020-04"]),
+                   "m", "r", rnd.choice([None, 0.0, float(rnd.randint(1, 900))])) for _ in range(40)]
+        acts = [(rnd.choice(agents), day(), rnd.randint(0, 60),
+                 rnd.choice(["positive", "neutral", None])) for _ in range(150)]
+        d, q, a = (spark.createDataFrame(deals, DEALS), spark.createDataFrame(quotas, QUOTAS),
+                   spark.createDataFrame(acts, ACTS))
+        assert rows(I.int_sales_performance(d, q, a)) == rows(performance_by_join_chain(d, q, a)), seed
+
+
+def test_customer_health_random_inputs(spark):
+    import random
+    for seed in (4, 5):
+        rnd = random.Random(seed)
+        names = [None] + [f"a{i}" for i in range(8)]
+        accounts = [(f"a{i}", rnd.choice(["s1", None]), float(rnd.randint(0, 9)) * 1e8, i)
+                    for i in range(10)]
+        nps = [(f"s{i:03d}", rnd.choice(names),
+                None if rnd.random() < 0.2 else D(2020, 1, rnd.randint(1, 5)),   # many date ties
+                rnd.randint(0, 10), rnd.choice(["promoter", "passive", "detractor"]))
+               for i in range(60)]
+        tickets = [(rnd.choice(names), rnd.choice(["High", "high", "Low", None]),
+                    rnd.choice([None, float(rnd.randint(1, 100))]),
+                    rnd.choice([None, float(rnd.randint(1, 5))])) for _ in range(60)]
+        deals = [(rnd.choice(names), rnd.choice([True, False]),
+                  rnd.choice([None, float(rnd.randint(0, 900))]),
+                  rnd.choice([None, D(2020, rnd.randint(1, 12), 1)])) for _ in range(60)]
+        a = spark.createDataFrame(accounts, "account_name string, sector string, "
+                                            "annual_revenue_usd double, employee_count bigint")
+        n = spark.createDataFrame(nps, "survey_id string, account_name string, response_date date, "
+                                       "nps_score bigint, nps_category string")
+        t = spark.createDataFrame(tickets, "account_name string, ticket_priority string, "
+                                           "resolution_hours double, satisfaction_rating double")
+        d = spark.createDataFrame(deals, "account_name string, is_won boolean, close_value_usd double, "
+                                         "close_date date")
+        assert rows(I.int_customer_health(a, n, t, d)) == rows(health_by_join_chain(a, n, t, d)), seed
