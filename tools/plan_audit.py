@@ -28,7 +28,7 @@ def main() -> None:
     for name, q in QUERIES.items():
         if name in SKIP:
             continue
-        plan = q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        plan = q(spark, sf_dir).select("*")._jdf.queryExecution().executedPlan().toString()
         flags = []
         if "CartesianProduct" in plan:
             flags.append("CARTESIAN")
