@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
@@ -79,18 +80,23 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.ranks = vocabulary.ranks
         self.split = regex.compile(vocabulary.pattern).findall
-        self.token = [b""] * (max(self.ranks.values(), default=-1) + 1)
+        size = max(self.ranks.values(), default=-1) + 1
+        self.token, self.length = [b""] * size, [0] * size
+        self.shorter = [-1] * size  # the longest shorter token that the token begins with
         self.automaton = ahocorasick.Automaton()
-        for t, i in self.ranks.items():
-            self.token[i] = t
+        for t, i in sorted(self.ranks.items(), key=lambda x: len(x[0])):
+            self.token[i], self.length[i] = t, len(t)
             if len(t) == 1 or i in vocabulary.halves:
-                self.automaton.add_word(t.decode("latin-1"), (i, len(t)))
+                self.automaton.add_word(t.decode("latin-1"), i)
+                self.shorter[i] = next((self.ranks[t[:n]] for n in range(len(t) - 1, 0, -1)
+                                        if t[:n] in self.ranks
+                                        and (n == 1 or self.ranks[t[:n]] in vocabulary.halves)), -1)
         if len(self.automaton):
             self.automaton.make_automaton()
         self.halves = vocabulary.halves
         self.merge = {pair: i for i, pair in self.halves.items()}
         self.pairs: dict[int, bool] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Pieces(self)
 
     def compatible(self, left: int, right: int) -> bool:
         key = left << 32 | right
@@ -124,51 +130,62 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        size = len(piece)
-        starts: list[list[tuple[int, int]]] = [[] for _ in range(size)]
-        for end, (token, length) in self.automaton.iter(piece.decode("latin-1")):
-            starts[end - length + 1].append((token, length))  # shorter ones first
-        dead = bytearray(size + 1)
-        taken: list[tuple[int, int, int]] = []  # id, length, index in starts
-        at, choice = 0, len(starts[0]) - 1
-        while at < size:
-            options, last = starts[at], taken[-1][0] if taken else -1
-            while choice >= 0:
-                token, length = options[choice]
-                if not dead[at + length] and (last < 0 or self.compatible(last, token)):
-                    break
-                choice -= 1
-            if choice >= 0:
-                taken.append((token, length, choice))
-                at += length
-                choice = len(starts[at]) - 1 if at < size else -1
+        size, length, pairs = len(piece), self.length, self.pairs
+        longest = [-1] * size
+        for end, token in self.automaton.iter(piece.decode("latin-1")):
+            longest[end - length[token] + 1] = token  # longer ones come later
+        dead: set[int] = set()
+        taken: list[int] = []
+        at, last, token = 0, -1, longest[0]
+        while True:
+            while token >= 0:
+                end = at + length[token]
+                if end not in dead:
+                    if last < 0:
+                        break
+                    fits = pairs.get(last << 32 | token)
+                    if self.compatible(last, token) if fits is None else fits:
+                        break
+                token = self.shorter[token]
+            if token >= 0:
+                taken.append(token)
+                if end == size:
+                    return taken
+                at, last, token = end, token, longest[end]
             else:
                 if not taken:
                     raise ValueError("a byte of the text is not in the vocabulary")
-                dead[at] = 1
-                _, length, choice = taken.pop()
-                at -= length
-                choice -= 1
-        return [t for t, _, _ in taken]
-
-    def packed(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            known = np.array(self.piece_ids(piece.encode("utf-8")), dtype="<u4").tobytes()
-            if len(piece) <= REMEMBERED_CHARS:
-                if len(self.pieces) > REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[piece] = known
-        return known
+                dead.add(at)
+                given_up = taken.pop()
+                at -= length[given_up]
+                last = taken[-1] if taken else -1
+                token = self.shorter[given_up]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.packed, self.split(text)))
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
+class _Pieces(dict):
+    """piece -> its packed ids; long pieces are encoded but not remembered."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.encoder.piece_ids(piece.encode("utf-8"))
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= REMEMBERED_CHARS:
+            self[piece] = packed
+        return packed
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
