@@ -208,6 +208,14 @@ def text_key(text):
     return F.md5(F.col(text).cast("binary"))
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark item, columns as they are."""
+    found = stored(leaks(docs.select(text_key("text").alias("key"), "text"), benchmark)
+                   .select(F.col("key").alias("__leak")).distinct(), "leaks")
+    keyed = docs.withColumn("__key", text_key("text"))
+    return keyed.join(found, keyed["__key"] == found["__leak"], "left_anti").select(*docs.columns)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item that it holds; clean documents have none."""
     docs = table(spark, sf_dir, "documents")

@@ -6,10 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revspark.llm import chat
 from revspark.llm.bpe import op3_byte_bpe
+from revspark.llm.decontaminate import op7_decontaminate
+from revspark.llm.jaccard import op9_ngram_jaccard
+from revspark.llm.language import op10_language_id
+from revspark.llm.licenses import op6_license_scan
+from revspark.llm.neighbours import op4_neighbours
+from revspark.llm.quality import op2_quality
+from revspark.llm.substring import op8_substring_dedup
+from revspark.llm.url_filter import op5_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_preference_format": chat.op1_preference_format,
+    "op2_quality": op2_quality,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_neighbours": op4_neighbours,
+    "op5_url_filter": op5_url_filter,
+    "op6_license_scan": op6_license_scan,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_preference_format": chat.ORACLE_SQL,
+}
