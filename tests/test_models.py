@@ -1,16 +1,14 @@
-"""The union-and-aggregate rewrites against brute-force join chains.
+"""The two large models against plain Python computations from their rules.
 
-The models aggregate revenue and effort (and the three account summaries) in
-one shuffle instead of a chain of joins; here both forms run on hand-made
-inputs that hit every presence pattern, NULL keys and quota fan-out.
+Inputs hit every presence pattern, NULL keys and quota fan-out; some values are
+worked out by hand.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-
-from pyspark.sql import Window
-from pyspark.sql import functions as F
+from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal
 
 from revspark.plans import intermediate as I
 
@@ -30,43 +28,61 @@ def deal(agent, month_day, value, stage="Won", account="acct1", profit=None, day
             stage == "Won", account)
 
 
-def performance_by_join_chain(deals, quotas, acts):
-    """Brute force: two aggregates, then two full outer joins, the second on
-    the coalesced keys of the first."""
-    money = lambda c: F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
-    rev = (deals.filter("is_won")
-           .groupBy(F.col("agent_name").alias("r_agent"),
-                    F.date_format("close_date", "yyyy-MM").alias("r_month"))
-           .agg(F.count(F.lit(1)).alias("r_n"), money("close_value_usd").alias("r_rev"),
-                money("net_profit_usd").alias("r_profit"), F.avg("days_in_pipeline").alias("r_days")))
-    eff = (acts.groupBy(F.col("agent_name").alias("e_agent"),
-                        F.date_format("activity_date", "yyyy-MM").alias("e_month"))
-           .agg(F.count(F.lit(1)).alias("e_n"), F.sum("duration_minutes").alias("e_min"),
-                F.count_if(F.col("outcome") == "positive").alias("e_pos")))
-    q = quotas.select(F.col("agent_name").alias("q_agent"), F.col("quota_month").alias("q_month"),
-                      "manager_name", "regional_office", "quota_amount_usd")
-    rq = rev.join(q, (F.col("r_agent") == F.col("q_agent")) & (F.col("r_month") == F.col("q_month")),
-                  "full")
-    k_agent, k_month = F.coalesce("r_agent", "q_agent"), F.coalesce("r_month", "q_month")
-    j = rq.join(eff, (k_agent == F.col("e_agent")) & (k_month == F.col("e_month")), "full")
-    att = F.when(F.col("quota_amount_usd") > 0, F.round(
-        (F.coalesce("r_rev", F.lit(0.0)) / F.col("quota_amount_usd") * 100).cast("decimal(38,10)"), 1)
-        .cast("double"))
-    return j.select(
-        F.coalesce("r_agent", "q_agent", "e_agent").alias("agent_name"),
-        F.coalesce("r_month", "q_month", "e_month").alias("period_month"),
-        "manager_name", "regional_office", "quota_amount_usd",
-        F.coalesce("r_n", F.lit(0)).alias("deals_won"),
-        F.coalesce("r_rev", F.lit(0.0)).alias("total_revenue_usd"),
-        F.coalesce("r_profit", F.lit(0.0)).alias("total_profit_usd"),
-        F.coalesce("r_days", F.lit(0.0)).alias("avg_days_in_pipeline"),
-        F.coalesce("e_n", F.lit(0)).alias("total_activities"),
-        F.coalesce("e_min", F.lit(0)).alias("total_effort_minutes"),
-        F.coalesce("e_pos", F.lit(0)).alias("positive_outcomes"),
-        att.alias("quota_attainment_pct"))
-
-
-def perf_inputs(spark):
+def _half_up(x: float, places: int) -> float:
+    unit = Decimal(1).scaleb(-places)
+    return float(Decimal(repr(x)).quantize(Decimal("1e-10")).quantize(unit, ROUND_HALF_UP))
+
+
+def _mean(values):
+    values = [v for v in values if v is not None]
+    return sum(values) / len(values) if values else None
+
+
+def _total(values):
+    values = [v for v in values if v is not None]
+    return float(sum(values)) if values else None
+
+
+def expected_performance(deals, quotas, acts):
+    """Rows of the model from the rules: measures in dictionaries by (agent, month); a
+    quota row takes what its key has; keys with a gap never meet another input."""
+    month = lambda d: d.strftime("%Y-%m") if d else None
+    won, done = defaultdict(list), defaultdict(list)
+    for x in deals:
+        if x[6]:
+            won[x[0], month(x[2])].append(x)
+    for x in acts:
+        done[x[0], month(x[1])].append(x)
+
+    def measures(w, e):
+        return {"deals_won": len(w), "revenue": _total(x[3] for x in w) or 0.0, "profit": _total(x[4] for x in w) or 0.0,
+                "days": _mean(x[5] for x in w) or 0.0, "acts": len(e), "minutes": sum(x[2] or 0 for x in e),
+                "good": sum(x[3] == "positive" for x in e)}
+
+    def row(key, m, quota=(None, None, None)):
+        amount = quota[2]
+        pct = _half_up(m["revenue"] / amount * 100, 1) if amount and amount > 0 else None
+        return (*key, *quota, m["deals_won"], m["revenue"], m["profit"], m["days"], m["acts"], m["minutes"], m["good"], pct)
+
+    out, asked = [], set()
+    for agent, mon, *quota in quotas:
+        key, full = (agent, mon), agent is not None and mon is not None
+        asked.add(key) if full else None
+        out.append(row(key, measures(won.get(key, []) if full else [], done.get(key, []) if full else []), tuple(quota)))
+    for key in {*won, *done} - asked:
+        if None in key:
+            out += [row(key, measures(won[key], []))] if key in won else []
+            out += [row(key, measures([], done[key]))] if key in done else []
+        else:
+            out.append(row(key, measures(won.get(key, []), done.get(key, []))))
+    return out
+
+
+def in_order(values):
+    return sorted(values, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def perf_inputs():
     deals = [
         deal("R", D(2020, 1, 5), 100.0), deal("R", D(2020, 1, 9), 50.25),
         deal("RQ", D(2020, 1, 3), 400.0), deal("RE", D(2020, 1, 3), 10.0),
@@ -90,17 +106,24 @@ def perf_inputs(spark):
         ("RQE", D(2020, 1, 20), 15, "negative"), ("FAN", D(2020, 3, 2), 60, None),
         (None, D(2020, 1, 2), 9, "positive"), ("E", None, 1, "positive"),
     ]
+    return deals, quotas, acts
+
+
+def perf_frames(spark, deals, quotas, acts):
     return (spark.createDataFrame(deals, DEALS), spark.createDataFrame(quotas, QUOTAS),
             spark.createDataFrame(acts, ACTS))
 
 
-def test_sales_performance_equals_join_chain(spark):
-    deals, quotas, acts = perf_inputs(spark)
-    want = performance_by_join_chain(deals, quotas, acts)
-    got = I.int_sales_performance(deals, quotas, acts)
+def test_sales_performance_by_the_rules(spark):
+    inputs = perf_inputs()
+    got = I.int_sales_performance(*perf_frames(spark, *inputs))
     assert got.columns == I.PERFORMANCE_COLUMNS
-    assert [f.dataType for f in got.schema.fields] == [f.dataType for f in want.schema.fields]
-    assert rows(got) == rows(want)
+    assert rows(got) == in_order(expected_performance(*inputs))
+    # by hand
+    by = {(r.agent_name, r.period_month): r for r in got.collect() if r.agent_name and r.agent_name != "FAN"}
+    assert by["RQE", "2020-01"].quota_attainment_pct == 150.0 and by["RQE", "2020-01"].total_effort_minutes == 60
+    assert by["RQ", "2020-01"].deals_won == 2 and by["RQ", "2020-01"].total_revenue_usd == 400.0
+    assert by["QE", "2020-01"].quota_attainment_pct is None and by["R", "2020-01"].total_revenue_usd == 150.25
     # all seven presence patterns are present, plus fan-out and NULL keys
     agents = {r[0] for r in got.collect()}
     assert {"R", "Q", "E", "RQ", "RE", "QE", "RQE", "FAN", None} <= agents
@@ -108,71 +131,54 @@ def test_sales_performance_equals_join_chain(spark):
     assert len(fan) == 2 and all(r.total_revenue_usd == 120.0 for r in fan)
 
 
-def health_by_join_chain(accounts, nps, tickets, deals):
-    """Brute force: a row_number window, three separate aggregates, four left joins."""
-    w = Window.partitionBy("account_name").orderBy(F.desc_nulls_last("response_date"),
-                                                   F.desc("survey_id"))
-    latest = (nps.filter(F.col("response_date").isNotNull())
-              .withColumn("rn", F.row_number().over(w)).filter("rn = 1")
-              .select("account_name", F.col("nps_score").alias("latest_nps_score"),
-                      F.col("nps_category").alias("latest_nps_category")))
-    ns = nps.groupBy("account_name").agg(F.avg("nps_score").alias("avg_nps_score"),
-                                         F.count(F.lit(1)).alias("total_surveys"))
-    ts = tickets.groupBy("account_name").agg(
-        F.count(F.lit(1)).alias("t_n"), F.count_if(F.col("ticket_priority") == "High").alias("t_high"),
-        F.avg("resolution_hours").alias("avg_resolution_hours"),
-        F.avg("satisfaction_rating").alias("avg_satisfaction_rating"))
-    rs = deals.groupBy("account_name").agg(
-        F.count(F.lit(1)).alias("d_n"), F.count_if("is_won").alias("d_won"),
-        F.sum(F.when(F.col("is_won"), F.col("close_value_usd")).otherwise(0.0)
-              .cast("decimal(18,2)")).cast("double").alias("d_rev"),
-        F.max("close_date").alias("last_deal_date"))
-    j = (accounts.join(latest, "account_name", "left").join(ns, "account_name", "left")
-         .join(ts, "account_name", "left").join(rs, "account_name", "left"))
-    nps_avg, csat, high = F.col("avg_nps_score"), F.col("avg_satisfaction_rating"), F.col("t_high")
-    score = (F.coalesce(nps_avg * 10, F.lit(50)) * 0.4 + F.coalesce(csat * 20, F.lit(50)) * 0.3
-             - F.coalesce(high * 5, F.lit(0)) + F.when(F.col("d_won") > 0, 15).otherwise(0))
-    nps5, high0, csat3 = F.coalesce(nps_avg, F.lit(5)), F.coalesce(high, F.lit(0)), F.coalesce(csat, F.lit(3))
-    risk = (F.when((nps5 <= 3) & (high0 >= 2), "High")
-            .when((nps5 <= 5) | (csat3 < 3), "Medium").otherwise("Low"))
-    return j.select(
-        "account_name", "sector", "annual_revenue_usd", "employee_count",
-        "latest_nps_score", "latest_nps_category", "avg_nps_score", "total_surveys",
-        F.coalesce("t_n", F.lit(0)).alias("total_tickets"),
-        F.coalesce("t_high", F.lit(0)).alias("high_priority_tickets"),
-        "avg_resolution_hours", "avg_satisfaction_rating",
-        F.coalesce("d_n", F.lit(0)).alias("total_deals"),
-        F.coalesce("d_won", F.lit(0)).alias("deals_won"),
-        F.coalesce("d_rev", F.lit(0.0)).alias("total_revenue_usd"),
-        "last_deal_date",
-        F.round(score.cast("decimal(38,10)"), 1).cast("double").alias("health_score"),
-        risk.alias("churn_risk"))
-
-
-def test_customer_health_equals_join_chain(spark):
-    accounts = spark.createDataFrame(
+def expected_health(accounts, nps, tickets, deals):
+    """Rows of the model from the rules, account by account."""
+    out = []
+    for name, sector, annual, employees in accounts:
+        s = [x for x in nps if x[1] == name]
+        t = [x for x in tickets if x[0] == name]
+        d = [x for x in deals if x[0] == name]
+        answered = sorted((x for x in s if x[2] is not None), key=lambda x: (x[2], x[0]))
+        score, stars = _mean(x[3] for x in s), _mean(x[3] for x in t)
+        urgent, wins = sum(x[1] == "High" for x in t), sum(x[1] for x in d)
+        points = ((50 if score is None else score * 10) * 0.4 + (50 if stars is None else stars * 20) * 0.3
+                  - 5 * urgent + (15 if wins else 0))
+        if score is not None and score <= 3 and urgent >= 2:
+            risk = "High"
+        elif score is None or score <= 5 or (stars is not None and stars < 3):
+            risk = "Medium"
+        else:
+            risk = "Low"
+        out.append((name, sector, annual, employees, *(answered[-1][3:5] if answered else (None, None)),
+                    score, len(s) or None, len(t), urgent, _mean(x[2] for x in t), stars, len(d), wins,
+                    _total(x[2] for x in d if x[1]) or 0.0,
+                    max((x[3] for x in d if x[3] is not None), default=None), _half_up(points, 1), risk))
+    return out
+
+
+def test_customer_health_by_the_rules(spark):
+    accounts = (
         [("a1", "tech", 1e9, 10), ("a2", "retail", 5e7, 5), ("a3", None, None, None),
          ("a4", "x", 2e8, 1), ("a5", "y", 1.0, 2)],
         "account_name string, sector string, annual_revenue_usd double, employee_count bigint")
-    nps = spark.createDataFrame(
+    nps = (
         [("s1", "a1", D(2020, 1, 1), 9, "promoter"), ("s2", "a1", D(2020, 2, 1), 3, "detractor"),
          ("s3", "a1", None, 10, "promoter"), ("s4", "a2", None, 2, "detractor"),
          ("s5", "a4", D(2020, 2, 1), 2, "detractor"), ("s6", "a4", D(2020, 2, 1), 3, "detractor"),
          ("s7", None, D(2020, 2, 1), 1, "detractor")],
         "survey_id string, account_name string, response_date date, nps_score bigint, nps_category string")
-    tickets = spark.createDataFrame(
+    tickets = (
         [("a1", "High", 10.0, 4.0), ("a1", "high", None, None), ("a4", "High", 5.0, 1.0),
          ("a4", "High", 7.0, 2.0), ("a5", "Low", None, None), (None, "High", 1.0, 1.0)],
         "account_name string, ticket_priority string, resolution_hours double, satisfaction_rating double")
-    deals = spark.createDataFrame(
+    deals = (
         [("a1", True, 100.0, D(2020, 1, 1)), ("a1", False, 0.0, D(2020, 3, 1)),
          ("a2", False, 0.0, None), ("a4", True, None, D(2020, 1, 2)), (None, True, 5.0, None)],
         "account_name string, is_won boolean, close_value_usd double, close_date date")
-    want = health_by_join_chain(accounts, nps, tickets, deals)
-    got = I.int_customer_health(accounts, nps, tickets, deals)
+    inputs = (accounts, nps, tickets, deals)
+    got = I.int_customer_health(*(spark.createDataFrame(*x) for x in inputs))
     assert got.columns == I.HEALTH_COLUMNS
-    assert [f.dataType for f in got.schema.fields] == [f.dataType for f in want.schema.fields]
-    assert rows(got) == rows(want)
+    assert rows(got) == in_order(expected_health(*(x[0] for x in inputs)))
     by = {r.account_name: r for r in got.collect()}
     assert by["a4"].churn_risk == "High" and by["a3"].churn_risk == "Medium"
     assert by["a1"].latest_nps_score == 3 and by["a4"].latest_nps_score == 3  # tie: largest id
@@ -194,9 +200,8 @@ def test_sales_performance_random_inputs(spark):
                    "m", "r", rnd.choice([None, 0.0, float(rnd.randint(1, 900))])) for _ in range(40)]
         acts = [(rnd.choice(agents), day(), rnd.randint(0, 60),
                  rnd.choice(["positive", "neutral", None])) for _ in range(150)]
-        d, q, a = (spark.createDataFrame(deals, DEALS), spark.createDataFrame(quotas, QUOTAS),
-                   spark.createDataFrame(acts, ACTS))
-        assert rows(I.int_sales_performance(d, q, a)) == rows(performance_by_join_chain(d, q, a)), seed
+        got = I.int_sales_performance(*perf_frames(spark, deals, quotas, acts))
+        assert rows(got) == in_order(expected_performance(deals, quotas, acts)), seed
 
 
 def test_customer_health_random_inputs(spark):
@@ -224,4 +229,5 @@ def test_customer_health_random_inputs(spark):
                                            "resolution_hours double, satisfaction_rating double")
         d = spark.createDataFrame(deals, "account_name string, is_won boolean, close_value_usd double, "
                                          "close_date date")
-        assert rows(I.int_customer_health(a, n, t, d)) == rows(health_by_join_chain(a, n, t, d)), seed
+        assert rows(I.int_customer_health(a, n, t, d)) == in_order(
+            expected_health(accounts, nps, tickets, deals)), seed
