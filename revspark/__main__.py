@@ -31,9 +31,8 @@ class BuiltProject(Project):
         self.marts = marts
 
     def stored(self, name: str) -> DataFrame:
-        path = os.path.join(self.marts, name)
-        if name in MART_MODELS and os.path.exists(path):
-            return self._spark.read.parquet(path).select(*self.model(name).columns)
+        if name in MART_MODELS:  # any URI that Spark reads; a mart that is not built is an error
+            return self._spark.read.parquet(f"{self.marts.rstrip('/')}/{name}").select(*self.model(name).columns)
         return super().stored(name)
 
 
@@ -51,7 +50,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("name")
     p.add_argument("warehouse")
     p.add_argument("marts")
-    p.add_argument("--rows", type=int, default=50)
+    p.add_argument("--rows", type=int, default=50, help="rows to show")
+    p.add_argument("--out", help="write the whole result there as Parquet instead")
     args = ap.parse_args(argv)
 
     spark = get_spark()
@@ -71,7 +71,11 @@ def main(argv: list[str] | None = None) -> int:
         res.show(30, truncate=False)
         return 0 if res.filter("status != 'pass'").isEmpty() else 1
     from revspark.queries import query_on
-    query_on(proj, args.name).show(args.rows, truncate=False)
+    result = query_on(proj, args.name)
+    if args.out:
+        result.write.mode("overwrite").parquet(args.out)
+    else:
+        result.show(args.rows, truncate=False)
     return 0
 
 

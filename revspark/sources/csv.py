@@ -8,6 +8,7 @@ are cast to their declared types. A missing file is reported, not fatal.
 from __future__ import annotations
 
 import os
+from functools import reduce
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -22,7 +23,9 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 # Date layouts accepted for DATE columns, tried in order.
-DATE_FORMATS = ["yyyy-MM-dd", "yyyy/MM/dd", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss"]
+DATE_FORMATS = ["yyyy-MM-dd", "yyyy/MM/dd", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyyMMdd", "M-d-yyyy",
+                "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d-MMM-yyyy",
+                "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyy/MM/dd HH:mm:ss"]
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -33,13 +36,16 @@ AUDIT_SCHEMA = T.StructType([
 
 
 def normalize_nulls(c: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
-    """A missing-value token (after trimming) becomes NULL."""
-    return F.when(F.trim(c).isin(*list(tokens)), F.lit(None).cast("string")).otherwise(c)
+    """A missing-value token, exactly as listed, becomes NULL; other blanks are text."""
+    return F.when(c.isin(*list(tokens)), F.lit(None).cast("string")).otherwise(c)
 
 
 def coerce_date(c: Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
-    """Parse with the first layout that fits; NULL when none does (errors='coerce')."""
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    """Parse with the first layout that fits, or as an ISO timestamp (with ``T``, fraction
+    or zone); NULL when none does (errors='coerce')."""
+    text = F.trim(c)
+    return F.coalesce(*[F.try_to_date(text, f) for f in formats],
+                      text.try_cast("timestamp_ntz").cast("date"))
 
 
 def _typed(c: Column, dtype: T.DataType) -> Column:
@@ -56,11 +62,23 @@ def _typed(c: Column, dtype: T.DataType) -> Column:
 def read_raw(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """SRC-01: read one table's CSV with its declared schema.
 
-    Columns are matched by header name; declared columns absent from the file
-    are NULL, extra columns are ignored.
+    Quoted fields may hold commas, doubled quotes and backslashes, in a multi-line
+    table also line breaks. Columns are matched by header name, in each file of a
+    folder by its own header; declared columns absent from a file are NULL, extra
+    columns are ignored.
     """
-    text = (spark.read.option("header", True).option("inferSchema", False)
-            .option("mode", "PERMISSIVE").csv(path))
+    reader = (spark.read.option("header", True).option("inferSchema", False)
+              .option("quote", '"').option("escape", '"').option("multiLine", spec.multi_line)
+              .option("emptyValue", "").option("mode", "PERMISSIVE"))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in spark.read.text(path).inputFiles():
+        by_header.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    parts = [_declared(reader.csv(files), spec) for files in by_header.values()]
+    return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], spec.schema)
+
+
+def _declared(text: DataFrame, spec: TableSpec) -> DataFrame:
+    """The declared columns of files with one header."""
     present = set(text.columns)
     cols = []
     for f in spec.schema.fields:

@@ -54,6 +54,7 @@ class TableSpec:
     name: str
     file: str          # path relative to the landing root
     source_system: str  # report-only label
+    multi_line: bool = False  # quoted line breaks: such a file is read by one task
 
     @property
     def schema(self) -> T.StructType:
@@ -69,7 +70,7 @@ TABLES: dict[str, TableSpec] = {t.name: t for t in [
     TableSpec("quotas", "generated/quotas.csv", "crm_quotas"),
     TableSpec("activities", "generated/activities.csv", "crm_activities"),
     TableSpec("costs", "generated/costs.csv", "erp"),
-    TableSpec("nps_surveys", "generated/nps_surveys.csv", "survey_tool"),
+    TableSpec("nps_surveys", "generated/nps_surveys.csv", "survey_tool", multi_line=True),
     TableSpec("support_tickets", "generated/support_tickets.csv", "support_platform"),
 ]}
 

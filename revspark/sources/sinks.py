@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import threading
 import uuid
@@ -33,6 +34,10 @@ def run_concurrently(tasks: Iterable[Callable[[], object]], threads: int = DEFAU
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Full-refresh Parquet table (WRITE_TRUNCATE semantics)."""
+    if partition_by:
+        # rows of a directory meet first (AQE splits a hot one), so that tasks do not
+        # each write a file to every directory
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -65,8 +70,9 @@ def write_marts(spark: SparkSession, models: dict[str, DataFrame], root: str,
 
 def export_csv(df: DataFrame, path: str) -> None:
     """SNK-03: CSV with a header row, no index column."""
-    (df.write.mode("overwrite").option("header", True)
-       .option("dateFormat", "yyyy-MM-dd").csv(path))
+    (df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
+       .option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+       .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 # (application, namespace, table) -> (folder of the written table, its schema)
@@ -91,7 +97,7 @@ def land_once(spark: SparkSession, namespace: str, name: str,
     with lock:
         if key not in _LANDED:
             df = build()
-            folder = namespace.strip("/").replace("/", "_")
+            folder = hashlib.sha256("\0".join(key).encode()).hexdigest()[:24]
             path = scratch_path(spark, f"tables-{_RUN}/{folder}/{name}")
             write_table(df, path)
             _LANDED[key] = (path, df.schema)
