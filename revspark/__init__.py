@@ -6,7 +6,6 @@ Layout:
   operators/  reusable DataFrame operators (top-1 per key, keyed outer combine,
               lookups with defaults, data-quality checks, month spines)
   plans/      the model DAG: staging, intermediate, marts, metrics, targets, quality
-  streaming/  nothing: the modelled project has no streaming work
 """
 
 from revspark.session import checkpoint_dir, get_spark

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"     # money amounts (cents)
-OPERAND = "decimal(14,4)"   # per-deal operands: prices, costs, rates
+MONEY = "decimal(28,10)"    # money amounts as stored; sums are decimal(38,10)
+AMOUNT = "decimal(22,6)"    # per-deal operands: prices and costs
+RATE = "decimal(14,12)"     # per-deal rates; amount x rate is exact within 38 digits
 WIDE = "decimal(38,10)"     # intermediate for rounding a double
 
 
@@ -20,7 +21,10 @@ def _c(c: Column | str) -> Column:
 
 
 def money_sum(c: Column | str) -> Column:
-    """sum(c) over cents, returned as double; NULL when all inputs are NULL."""
+    """Exact sum(c), returned as double; NULL when all inputs are NULL.
+
+    Rows are not rounded: sub-cent amounts add up.
+    """
     return F.sum(_c(c).cast(MONEY)).cast("double")
 
 
@@ -29,5 +33,9 @@ def round_half_up(c: Column | str, scale: int) -> Column:
     return F.round(_c(c).cast(WIDE), scale).cast("double")
 
 
-def as_operand(c: Column | str) -> Column:
-    return _c(c).cast(OPERAND)
+def as_amount(c: Column | str) -> Column:
+    return _c(c).cast(AMOUNT)
+
+
+def as_rate(c: Column | str) -> Column:
+    return _c(c).cast(RATE)

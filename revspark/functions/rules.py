@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from revspark.functions.numeric import as_operand, round_half_up
+from revspark.functions.numeric import as_amount, as_rate, round_half_up
 
 # Vocabularies, thresholds and labels of the modelled project.
 PRODUCT_SPELLING_FIX = {"GTXPro": "GTX Pro"}
@@ -65,8 +65,8 @@ def net_profit(stage: Column | str, value: Column | str, cogs: Column | str, shi
     Operands are fixed-point so the result is the exact half-away rounding of
     the exact difference; any NULL operand gives NULL, non-won stages NULL.
     """
-    v = as_operand(value)
-    amount = v - as_operand(cogs) - as_operand(shipping) - as_operand(support) - v * as_operand(commission)
+    v = as_amount(value)
+    amount = v - as_amount(cogs) - as_amount(shipping) - as_amount(support) - v * as_rate(commission)
     return F.when(_c(stage) == won, F.round(amount, 2).cast("double"))
 
 

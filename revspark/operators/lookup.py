@@ -21,9 +21,10 @@ def left_lookup(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
     """``fact LEFT JOIN dim USING (on)``; unmatched lookups get ``defaults``.
 
     dict ``.get(k, default)`` semantics: a missing key (or a NULL key, which
-    never matches) yields the default instead of NULL.
+    never matches) yields the default; a NULL that the matching row holds stays.
     """
-    out = fact.join(dim, on=on, how="left")
-    for col, default in (defaults or {}).items():
-        out = out.withColumn(col, F.coalesce(F.col(col), F.lit(default)))
-    return out
+    if not defaults:
+        return fact.join(dim, on=on, how="left")
+    out = fact.join(dim.withColumn("__hit", F.lit(True)), on=on, how="left")
+    return out.withColumns({col: F.when(F.col("__hit"), F.col(col)).otherwise(F.lit(default))
+                            for col, default in defaults.items()}).drop("__hit")

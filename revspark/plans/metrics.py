@@ -17,7 +17,6 @@ from revspark.functions.numeric import MONEY, money_sum, round_half_up
 from revspark.operators.cumulative import rank_desc, running_total
 
 AT_RISK = ("High", "Medium")
-AT_RISK_TOP_K = 20
 QUOTA_BEAT_PCT = 100
 
 
@@ -222,42 +221,44 @@ def attainment_heatmap(perf: DataFrame, teams: DataFrame | None = None) -> DataF
 
 
 # DSH-15
-def accounts_at_risk(accounts: DataFrame, k: int = AT_RISK_TOP_K) -> DataFrame:
-    """The k at-risk accounts with the lowest health (a top-k report)."""
-    return (accounts.filter(F.col("churn_risk").isin(*AT_RISK))
+def accounts_at_risk(accounts: DataFrame, k: int | None = None) -> DataFrame:
+    """All at-risk accounts, lowest health first; with ``k`` only the first k."""
+    out = (accounts.filter(F.col("churn_risk").isin(*AT_RISK))
                     .select("account_name", "churn_risk", "health_score", "account_tier",
                             "avg_nps_score", "high_priority_tickets", "lifetime_revenue_usd")
-                    .orderBy(F.asc_nulls_last("health_score"), F.asc_nulls_last("account_name"))
-                    .limit(k))
+                    .orderBy(F.asc_nulls_last("health_score"), F.asc_nulls_last("account_name")))
+    return out if k is None else out.limit(k)
 
 
 # DSH-16
 def rolling_attainment(perf: DataFrame, months: int = 3) -> DataFrame:
     """Revenue over quota across each agent's last ``months`` calendar months.
 
-    Months are filled from the agent's first to last month so a window of
-    ``months`` rows is exactly that many calendar months.
+    Each of an agent's months is followed by the months up to the next one it has,
+    without revenue or quota of their own; the window runs over a month number, so
+    that it spans exactly that many calendar months. A month that is no ``yyyy-MM``
+    is a row by itself, outside every other month's window.
     """
     keyed = (perf.filter(F.col("agent_name").isNotNull() & F.col("period_month").isNotNull())
                  .groupBy("agent_name", "period_month")
                  .agg(F.sum(F.col("total_revenue_usd").cast(MONEY)).alias("_rev"),
                       F.sum(F.col("quota_amount_usd").cast(MONEY)).alias("_quota")))
-    span = keyed.groupBy("agent_name").agg(
-        F.min("period_month").alias("_first"), F.max("period_month").alias("_last"))
-    spine = span.select(
-        "agent_name",
-        F.explode(F.sequence(F.to_date(F.concat("_first", F.lit("-01"))),
-                             F.to_date(F.concat("_last", F.lit("-01"))),
-                             F.expr("interval 1 month"))).alias("_m"))
-    spine = spine.select("agent_name", F.date_format("_m", "yyyy-MM").alias("period_month"))
-    filled = spine.join(keyed, ["agent_name", "period_month"], "left")
-    w = (Window.partitionBy("agent_name").orderBy("period_month")
-         .rowsBetween(-(months - 1), Window.currentRow))
-    rev = F.coalesce(F.sum("_rev").over(w), F.lit(0).cast(MONEY))
-    quota = F.coalesce(F.sum("_quota").over(w), F.lit(0).cast(MONEY))
-    out = filled.select("agent_name", "period_month",
-                        rev.cast("double").alias("revenue_3m_usd"),
-                        quota.cast("double").alias("quota_3m_usd"))
+    first = F.try_to_date(F.concat("period_month", F.lit("-01")), "yyyy-MM-dd")
+    number = F.year(first) * 12 + F.month(first) - 1
+    dated = keyed.withColumn("_n", F.when(F.col("period_month").rlike(r"^\d{4}-\d{2}$"), number))
+    # a malformed month is its own series
+    series = ["agent_name", F.when(F.col("_n").isNull(), F.col("period_month"))]
+    later = F.lead("_n").over(Window.partitionBy(*series).orderBy("_n"))
+    gap = F.when(later.isNull(), F.array("_n")).otherwise(F.sequence(F.col("_n"), later - 1))
+    filled = (dated.withColumn("_gap", gap).withColumn("_m", F.explode("_gap"))
+              .withColumn("_own", F.col("_m").eqNullSafe(F.col("_n"))))
+    w = Window.partitionBy(*series).orderBy("_m").rangeBetween(-(months - 1), Window.currentRow)
+    own = lambda c: F.when(F.col("_own"), F.col(c))
+    total = lambda c: F.coalesce(F.sum(own(c)).over(w), F.lit(0).cast(MONEY)).cast("double")
+    month = F.when(F.col("_m").isNull(), F.col("period_month")).otherwise(F.concat_ws(
+        "-", F.lpad(F.floor(F.col("_m") / 12).cast("string"), 4, "0"), F.lpad((F.col("_m") % 12 + 1).cast("string"), 2, "0")))
+    out = filled.select("agent_name", month.alias("period_month"),
+                        total("_rev").alias("revenue_3m_usd"), total("_quota").alias("quota_3m_usd"))
     return out.withColumn("rolling_attainment_pct",
                           F.when(F.col("quota_3m_usd") > 0,
                                  round_half_up(F.col("revenue_3m_usd") / F.col("quota_3m_usd") * 100, 1)))

@@ -43,7 +43,7 @@ def agent_baseline(pipeline: DataFrame) -> DataFrame:
     """
     won = _won(pipeline).filter(F.col("agent_name").isNotNull() & F.col("close_date").isNotNull())
     monthly = won.groupBy("agent_name", R.month_key("close_date").alias("_m")).agg(
-        F.sum(F.col("close_value_usd").cast(MONEY)).alias("_rev"))
+        F.coalesce(F.sum(F.col("close_value_usd").cast(MONEY)), F.lit(0).cast(MONEY)).alias("_rev"))
     per_agent = monthly.groupBy("agent_name").agg(
         F.sum("_rev").alias("_total"), F.count(F.lit(1)).alias("months_with_wins"))
     return per_agent.select(
@@ -71,9 +71,12 @@ def _seasonal(quarter: Column) -> Column:
 def quota_targets(teams: DataFrame, pipeline: DataFrame, start: str = "1998-01",
                   end: str = "1998-12") -> DataFrame:
     """Monthly quota per agent: baseline x uplift x seasonal factor, floored, to cents."""
-    spine = agent_month_spine(teams, start, end)
     base = agent_baseline(pipeline).select("agent_name", "avg_monthly_revenue_usd")
-    j = left_lookup(spine, base, "agent_name", {"avg_monthly_revenue_usd": float(DEFAULT_BASELINE_USD)})
+    # the lookup comes before the months: one row per agent is shuffled, not twelve
+    known = left_lookup(teams.select("agent_name", "manager_name", "regional_office"), base, "agent_name",
+                        {"avg_monthly_revenue_usd": float(DEFAULT_BASELINE_USD)})
+    j = (month_spine(known, start, end, "_d")
+         .withColumns({"quota_month": F.date_format("_d", "yyyy-MM"), "quarter": F.quarter("_d")}))
     amount = F.col("avg_monthly_revenue_usd") * QUOTA_UPLIFT * _seasonal(F.col("quarter"))
     return j.select(
         R.quota_id("agent_name", "quota_month").alias("quota_id"),

@@ -37,9 +37,11 @@ def main() -> None:
         single = len(re.findall(r"Exchange SinglePartition", plan))
         if single:
             flags.append(f"single-partition exchanges={single}")
-        for m in re.finditer(r"Window \[.*?\], \[(.*?)\], \[", plan):
-            if not m.group(1).strip():
-                flags.append("UNPARTITIONED-WINDOW")
+        # Spark leaves the partition list out when it is empty: the specification starts
+        # with the order; such a window takes all its rows in one task
+        unpartitioned = len(re.findall(r"windowspecdefinition\([^,()]*#\d+L? (?:ASC|DESC)", plan))
+        if unpartitioned:
+            flags.append(f"unpartitioned windows={unpartitioned}")
         n_ex = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan))
         print(f"{name:24s} exchanges={n_ex:3d} {' '.join(flags)}")
     spark.stop()
