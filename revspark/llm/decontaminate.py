@@ -67,7 +67,7 @@ class _Tokens(dict):
                 flags = _CAPITAL
             if low in UNITS:
                 flags |= _UNIT
-        value = self[token] = (xxhash.xxh3_64_intdigest(low.encode()) & ~15) | flags
+        value = self[token] = (xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) & ~15) | flags
         return value
 
 
@@ -82,26 +82,37 @@ class Template:
         if len(_CACHE) > CACHE_ENTRIES:
             _CACHE.clear()
         h = np.fromiter(map(_CACHE.__getitem__, self.raw), dtype=U64, count=len(self.raw))
-        flags = (h & _LOW).astype(np.uint8)
-        before = np.empty_like(flags)
-        before[:1], before[1:] = _END, flags[:-1]
-        kind = np.zeros(len(h), dtype=np.uint8)
-        kind[((flags & _CAPITAL) > 0) & ((before & _END) == 0)] = _CAPITAL
-        kind[((flags & _UNIT) > 0) & (before == _NUMBER)] = _UNIT
-        kind[flags == _NUMBER] = _NUMBER
-        kept = (flags & _END) == 0
-        kept[1:] &= ~((kind[1:] == _CAPITAL) & (kind[:-1] == _CAPITAL))
+        kind, kept = np.zeros(len(h), dtype=np.uint8), np.ones(len(h), dtype=bool)
+        marked = np.flatnonzero(h & _LOW)  # the few tokens that may be slots or end a sentence
+        if len(marked):
+            flags = np.concatenate([[_END], h & _LOW]).astype(np.uint8)  # of the token before, from 0
+            own, before = flags[marked + 1], flags[marked]
+            kept[marked[own == _END]] = False
+            kind[marked[own == _NUMBER]] = _NUMBER
+            kind[marked[((own & _UNIT) > 0) & (before == _NUMBER)]] = _UNIT
+            names = marked[((own & _CAPITAL) > 0) & (before != _END)]
+            if len(names):
+                names = names[kind[names] == 0]
+                kind[names] = _CAPITAL
+                kept[names[1:][np.diff(names) == 1]] = False
         self.at = np.flatnonzero(kept)
         self.kind = kind[self.at]
-        self.hash = mixed(h[self.at] & ~_LOW)
-        for k, value in ((_NUMBER, _NUMBER_H), (_UNIT, _UNIT_H), (_CAPITAL, _NAME_H)):
-            self.hash[self.kind == k] = value
-        self.literal = np.concatenate([[0], np.cumsum(self.kind == 0)])
-
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the windows of ``n`` tokens, and which of them are specific enough."""
-        hashes = mixed(sequence_hashes(self.hash, n, _BASE))
-        return hashes, (self.literal[n:] - self.literal[:-n])[:len(hashes)] >= min(n, MIN_LITERAL)
+        self.hash = h[self.at] >> U64(4)
+        self.slots = bool(self.kind.any())
+        if self.slots:
+            for k, value in ((_NUMBER, _NUMBER_H), (_UNIT, _UNIT_H), (_CAPITAL, _NAME_H)):
+                self.hash[self.kind == k] = value
+
+    def windows(self, n: int) -> np.ndarray:
+        """Hashes of the windows of ``n`` tokens."""
+        return mixed(sequence_hashes(self.hash, n, _BASE))
+
+    def specific(self, starts: np.ndarray, n: int) -> np.ndarray:
+        """Those of the windows that have enough literal tokens."""
+        if not self.slots or not len(starts):
+            return starts
+        literal = np.concatenate([[0], np.cumsum(self.kind == 0)])
+        return starts[literal[starts + n] - literal[starts] >= min(n, MIN_LITERAL)]
 
     def value(self, i: int) -> str:
         """What a slot holds; of a name, all its words."""
@@ -147,12 +158,13 @@ def _windowed(texts: DataFrame, lengths, wanted=None) -> DataFrame:
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 template, found = Template(text), []
                 for n in lengths(len(template.at)):
-                    hashes, specific = template.windows(n)
+                    hashes = template.windows(n)
+                    starts = np.arange(len(hashes))
                     if wanted is not None and len(hashes):
                         sought = wanted.value
                         near = np.minimum(np.searchsorted(sought, hashes), len(sought) - 1)
-                        specific = specific & (sought[near] == hashes)
-                    for i in np.flatnonzero(specific).tolist():
+                        starts = np.flatnonzero(sought[near] == hashes)
+                    for i in template.specific(starts, n).tolist():
                         name, slots = template.described(i, n)
                         found.append({"pos": i, "hash": int(hashes[i].astype(np.int64)),
                                       "template": name, "slots": slots})
