@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revspark.llm.common import slices, table
+from revspark.llm.common import slices, table, use
 
 #: Entries after which a worker forgets remembered pieces or pairs.
 REMEMBERED = 400_000
@@ -191,6 +191,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def _encoder(vocabulary: Vocabulary) -> Encoder:
     """One encoder per worker process and vocabulary."""
+    use(_ENCODERS)
     if vocabulary.key not in _ENCODERS:
         _ENCODERS[vocabulary.key] = Encoder(vocabulary)
     return _ENCODERS[vocabulary.key]

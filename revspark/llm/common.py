@@ -18,7 +18,7 @@ from revspark.session import scratch_path
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 #: Entries after which a worker's word cache starts afresh (bounds its memory).
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 
 U64 = np.uint64
 _MASK = (1 << 64) - 1
@@ -44,8 +44,25 @@ def fold(id_col, modulus: int):
     return F.crc32(id_col.cast("string").cast("binary")) % modulus
 
 
+_in_use: dict = {}
+
+
+def use(cache: dict) -> None:
+    """To be called before a batch of work on ``cache``, a worker's memory of tokens.
+
+    A worker serves many operators in turn and keeps the entries of one: those of the
+    cache used before are dropped, and ``cache`` itself starts afresh when it is full.
+    """
+    global _in_use
+    if cache is not _in_use:
+        _in_use.clear()
+        _in_use = cache
+    elif len(cache) > CACHE_ENTRIES:
+        cache.clear()
+
+
 class WordHash(dict):
-    """word (bytes) -> 64-bit hash; start() drops the entries when there are too many."""
+    """word (bytes) -> 64-bit hash."""
 
     def __init__(self, seed: int = 0):
         super().__init__()
@@ -55,10 +72,6 @@ class WordHash(dict):
         value = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
         return value
 
-    def start(self) -> None:
-        if len(self) > CACHE_ENTRIES:
-            self.clear()
-
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), dtype=U64, count=len(words))
 

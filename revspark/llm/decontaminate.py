@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revspark.llm.common import CACHE_ENTRIES, U64, mixed, sequence_hashes, slices, stored, table
+from revspark.llm.common import U64, mixed, sequence_hashes, slices, stored, table, use
 
 
 WINDOW = 13
@@ -79,8 +79,7 @@ class Template:
 
     def __init__(self, text: str | None):
         self.raw = _TOKEN.findall(text or "")
-        if len(_CACHE) > CACHE_ENTRIES:
-            _CACHE.clear()
+        use(_CACHE)
         h = np.fromiter(map(_CACHE.__getitem__, self.raw), dtype=U64, count=len(self.raw))
         kind, kept = np.zeros(len(h), dtype=np.uint8), np.ones(len(h), dtype=bool)
         marked = np.flatnonzero(h & _LOW)  # the few tokens that may be slots or end a sentence

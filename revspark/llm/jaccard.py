@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revspark.llm.common import U64, WORD, WordHash, mixed, sequence_hashes, slices, stored, table
+from revspark.llm.common import U64, WORD, WordHash, mixed, sequence_hashes, slices, stored, table, use
 from revspark.llm.components import components
 
 N_WORDS = 5
@@ -47,7 +47,7 @@ _WORDS = WordHash()
 def shingles(text: bytes | None, n: int = N_WORDS) -> np.ndarray:
     """Hashes of the word n-grams of a text, in order, repeats included."""
     words = WORD.findall(text or b"")
-    _WORDS.start()
+    use(_WORDS)
     return mixed(sequence_hashes(_WORDS.of(words), max(1, min(n, len(words))), _BASE))
 
 

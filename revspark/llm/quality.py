@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revspark.llm.common import CACHE_ENTRIES, fold, slices, table
+from revspark.llm.common import fold, slices, table, use
 
 BUCKETS = 1 << 14
 DIMS = 32
@@ -41,7 +40,12 @@ EPOCHS = 400
 ACCEPT = 0.3
 HELD_OUT_FOLD, CALIBRATION_FOLD, FOLDS = 0, 1, 5
 
+#: Tokens that are worked on at a time, and characters that are split at a time.
+RUN = 8000
+PIECE = 1 << 20
+
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
+_BLANK = re.compile(r"\s")
 
 
 class _Buckets(dict):
@@ -53,14 +57,34 @@ class _Buckets(dict):
 _CACHE = _Buckets()
 
 
-def _bucketed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of all tokens, and how many each text has."""
-    if len(_CACHE) > CACHE_ENTRIES:
-        _CACHE.clear()
-    found = [_TOKEN.findall(t) if t else [] for t in texts]
-    n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-    return np.fromiter(map(_CACHE.__getitem__, chain.from_iterable(found)), dtype=np.int64,
-                       count=int(n.sum())), n
+def _tokens(text: str) -> Iterator[list[str]]:
+    """The tokens of a text, PIECE characters at a time; no token holds a blank."""
+    at = 0
+    while at < len(text):
+        blank = _BLANK.search(text, at + PIECE)
+        end = blank.start() if blank else len(text)
+        yield _TOKEN.findall(text, at, end)
+        at = end
+
+
+def _runs(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first text, buckets of all tokens, tokens per text) of runs of texts.
+
+    A run has at most RUN tokens or is a single text.
+    """
+    use(_CACHE)
+    none = np.empty(0, dtype=np.int16)
+    first, run, size = 0, [], 0
+    for i, text in enumerate(texts):
+        own = np.concatenate([none, *(np.fromiter(map(_CACHE.__getitem__, tokens), dtype=np.int16, count=len(tokens))
+                                      for tokens in _tokens(text or ""))])
+        if run and size + len(own) > RUN:
+            yield first, np.concatenate(run), np.array([len(r) for r in run])
+            first, run, size = i, [], 0
+        run.append(own)
+        size += len(own)
+    if run:
+        yield first, np.concatenate(run), np.array([len(r) for r in run])
 
 
 def index_vectors() -> np.ndarray:
@@ -74,25 +98,31 @@ def index_vectors() -> np.ndarray:
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text) to (bucket, v0, v1, ...): this task's context sums, one row a bucket."""
-    index = index_vectors()
-    sums = np.zeros((BUCKETS, DIMS))
-    seen = np.zeros(BUCKETS, dtype=bool)
+    index = np.vstack([index_vectors(), np.zeros((1, DIMS), dtype=np.int16)])  # the last is the gap's
+    sums = np.zeros((BUCKETS + 1, DIMS), dtype=np.int64)
+    seen = np.zeros(BUCKETS + 1, dtype=bool)
     for batch in slices(batches, 256):
-        bucket, n = _bucketed(batch.column(0).to_pylist())
-        if not len(bucket):
-            continue
-        doc = np.repeat(np.arange(len(n)), n)
-        around = np.zeros((len(bucket), DIMS), dtype=np.int16)
-        for step in range(1, REACH + 1):
-            same = (doc[step:] == doc[:-step])[:, None]
-            around[:-step] += np.where(same, index[bucket[step:]], 0)
-            around[step:] += np.where(same, index[bucket[:-step]], 0)
-        for d in range(DIMS):
-            sums[:, d] += np.bincount(bucket, weights=around[:, d], minlength=BUCKETS)
-        seen[bucket] = True
+        for _, bucket, n in _runs(batch.column(0).to_pylist()):
+            # REACH gaps before, between and after the texts, so that none sees another
+            spaced = np.full(len(bucket) + REACH * (len(n) + 1), BUCKETS, dtype=np.int16)
+            spaced[np.arange(len(bucket)) + REACH * np.repeat(np.arange(1, len(n) + 1), n)] = bucket
+            for lo in range(REACH, len(spaced) - REACH, RUN):
+                hi = min(lo + RUN, len(spaced) - REACH)
+                v = index[spaced[lo - REACH:hi + REACH]]
+                around = np.zeros((hi - lo, DIMS), dtype=np.int16)
+                for step in range(2 * REACH + 1):
+                    if step != REACH:
+                        around += v[step:step + hi - lo]
+                order = np.argsort(spaced[lo:hi], kind="stable")
+                centre = spaced[lo:hi][order]
+                starts = np.flatnonzero(np.r_[True, centre[1:] != centre[:-1]])
+                # 2 REACH ones a token, RUN tokens: within int16
+                sums[centre[starts]] += np.add.reduceat(around[order], starts, axis=0)
+                seen[centre[starts]] = True
+    sums, seen = sums[:BUCKETS], seen[:BUCKETS]
     at = np.flatnonzero(seen)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(at, pa.int32()), *(pa.array(sums[at, d].astype(np.int64), pa.int64()) for d in range(DIMS))],
+        [pa.array(at, pa.int32()), *(pa.array(sums[at, d], pa.int64()) for d in range(DIMS))],
         names=["bucket", *(f"v{d}" for d in range(DIMS))])
 
 
@@ -116,16 +146,18 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
     """(texts, 2 DIMS): mean and standard deviation of the words' vectors (0 without words)."""
-    bucket, n = _bucketed(texts)
-    out = np.zeros((len(n), 2 * DIMS))
-    some = np.flatnonzero(n)
-    if len(some):
+    out = np.zeros((len(texts), 2 * DIMS))
+    for first, bucket, n in _runs(texts):
+        some = np.flatnonzero(n)
         starts = (np.cumsum(n) - n)[some]
-        v = vectors[bucket]
-        mean = np.add.reduceat(v, starts, axis=0, dtype=np.float64) / n[some, None]
-        square = np.add.reduceat(v * v, starts, axis=0, dtype=np.float64) / n[some, None]
-        out[some, :DIMS] = mean
-        out[some, DIMS:] = np.sqrt(np.maximum(square - mean * mean, 0))
+        total = np.zeros((len(some), 2 * DIMS))
+        for lo in range(0, len(bucket), RUN):  # one round, but for a single long text
+            v = vectors[bucket[lo:lo + RUN]]
+            total[:, :DIMS] += np.add.reduceat(v, starts, axis=0, dtype=np.float64)
+            total[:, DIMS:] += np.add.reduceat(v * v, starts, axis=0, dtype=np.float64)
+        total /= n[some, None]
+        total[:, DIMS:] = np.sqrt(np.maximum(total[:, DIMS:] - total[:, :DIMS] ** 2, 0))
+        out[first + some] = total
     return out
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revspark.llm.common import U64, WORD, WordHash, mixed, sequence_hashes, table
+from revspark.llm.common import U64, WORD, WordHash, mixed, sequence_hashes, table, use
 
 WINDOW = 35
 PHRASE = 12
@@ -48,7 +48,7 @@ def _texts(rows: pa.Table) -> Iterator[tuple[list[bytes], np.ndarray]]:
     """Words and word hashes of each text."""
     for text in rows.column(_TEXT).cast(pa.binary()).to_pylist():
         words = WORD.findall(text or b"")
-        _WORDS.start()
+        use(_WORDS)
         yield words, _WORDS.of(words)
 
 
