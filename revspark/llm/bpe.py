@@ -197,20 +197,26 @@ def _encoder(vocabulary: Vocabulary) -> Encoder:
     return _ENCODERS[vocabulary.key]
 
 
-def _appended(docs: DataFrame, name: str, source: str, vocabulary: Vocabulary, work) -> DataFrame:
-    """``docs`` with the binary column ``name`` = work(encoder, value of ``source``)."""
+def _appended(docs: DataFrame, source: str, vocabulary: Vocabulary, steps: dict) -> DataFrame:
+    """``docs`` with binary columns, by name: each step maps (encoder, value) to a value, the
+    first from ``source``, each other one from the step before (null: null).
+
+    All steps run in one pass, so that a task needs one worker with one encoder.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)  # bounded: one vocabulary file
-    kept = [c for c in docs.columns if c != name]
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(name, T.BinaryType())])
+    kept = [c for c in docs.columns if c not in steps]
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(c, T.BinaryType()) for c in steps])
     at = kept.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in slices(batches, 512):
-            values = [None if v is None else work(encoder, v) for v in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(values, pa.binary())], names=[*kept, name])
+            values, columns = batch.column(at).to_pylist(), []
+            for step in steps.values():
+                values = [None if v is None else step(encoder, v) for v in values]
+                columns.append(pa.array(values, pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*kept, *steps])
 
     return docs.select(*kept).mapInArrow(run, schema)
 
@@ -220,12 +226,17 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
 
     An input column named ``ids`` is replaced.
     """
-    return _appended(docs, _IDS, text, vocabulary, Encoder.encode)
+    return _appended(docs, text, vocabulary, {_IDS: Encoder.encode})
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = _IDS) -> DataFrame:
     """``docs`` with a column ``decoded``: the bytes that ``ids`` stand for (null: null)."""
-    return _appended(docs, _DECODED, ids, vocabulary, Encoder.decode)
+    return _appended(docs, ids, vocabulary, {_DECODED: Encoder.decode})
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+    """``docs`` with the columns of ``encode`` and, from these ids, of ``decode``."""
+    return _appended(docs, text, vocabulary, {_IDS: Encoder.encode, _DECODED: Encoder.decode})
 
 
 def default_vocabulary(path: str | None = None) -> Vocabulary:
@@ -238,9 +249,8 @@ def default_vocabulary(path: str | None = None) -> Vocabulary:
 
 def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row (null text as empty)."""
-    coded = encode(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), vocabulary)
-    both = decode(coded.select("doc_id", "ids"), vocabulary)
-    return both.select(
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return round_trip(texts, vocabulary).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
