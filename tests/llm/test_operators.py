@@ -124,6 +124,33 @@ def test_neighbours(spark):
     assert hit / total >= 0.9
 
 
+def neighbour_recall(spark, x):
+    """Of the 20 nearest of every 20th row of ``x``, the share that is found."""
+    from revspark.llm.neighbours import nearest
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in nearest(v, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q in range(0, len(x), 20):
+        sims = x @ x[q]
+        sims[q] = -np.inf
+        hit += len(found[q] & set(np.argsort(-sims)[:20].tolist()))
+    return hit / len(range(0, len(x), 20)) / 20
+
+
+def test_neighbours_in_a_close_group_and_beside_a_long_vector(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 64))
+    x[:2500] = x[0] / np.linalg.norm(x[0]) + rng.normal(size=(2500, 64)) * 0.0003
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    assert neighbour_recall(spark, x) >= 0.95
+    y = rng.normal(size=(2000, 64))
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    y[7] *= 1000
+    assert neighbour_recall(spark, y) >= 0.95
+
+
 # ---- 5
 def test_url_verdicts(spark):
     from revspark.llm.url_filter import judge
