@@ -151,6 +151,17 @@ def test_neighbours_in_a_close_group_and_beside_a_long_vector(spark):
     assert neighbour_recall(spark, y) >= 0.95
 
 
+def test_neighbours_walk_to_the_end(spark):
+    from revspark.llm import neighbours as N
+    # a chain: the largest inner product is at its far end, many rounds from the query
+    x = [[1.0, i / 10] for i in range(12)]
+    chain = spark.createDataFrame([(i, np.array(v).tobytes(), i % 7) for i, v in enumerate(x)], "node long, vector binary, block long")
+    graph = spark.createDataFrame([(i, [(0.0, i + 1)]) for i in range(11)], f"node long, near {N._LIST}")
+    query = spark.createDataFrame([(0, np.array([1.0, 1.0]).tobytes(), [])], f"query long, own binary, best {N._LIST}")
+    pool = N.searched(query, graph, chain, N.Form("<f8", 1e6)).first().pool
+    assert {e.id for e in pool} == set(range(1, 12))
+
+
 # ---- 5
 def test_url_verdicts(spark):
     from revspark.llm.url_filter import judge
