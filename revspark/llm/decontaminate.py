@@ -4,10 +4,12 @@ Numbers, units after a number and names (capitalised words inside a sentence)
 become typed placeholders; runs of names are one. Every window of WINDOW template
 tokens of a document is hash-joined with the windows of the benchmark items (an
 item with fewer tokens is one window by itself). Windows that match at the same
-shift between document and item form an alignment; it counts if its slots are
-consistent, i.e. each value of the item stands for one value of the document and
-the other way round. So an item is found again with other numbers and names, but
-not where the same template is filled in differently each time.
+shift between document and item form an alignment. Of these, a window whose slots
+hold the item's own values counts in itself; each run of consecutive windows counts if
+its slots are consistent, i.e. each value of the item stands for one value of the
+document and the other way round. So an item is found again with other numbers and
+names, but not where the same template is filled in differently each time. A name at
+the item's very end may run on in the document.
 
 Defined cases: null or empty texts and items match nothing; items under
 MIN_TOKENS tokens, and windows with under MIN_LITERAL literal tokens, are too
@@ -49,6 +51,8 @@ UNITS = frozenset((
 _TOKEN = re.compile(r"\d+(?:[.,:]\d+)*|[^\W\d_]+|[.!?\n]")
 _NUMBER, _CAPITAL, _END, _UNIT = 1, 2, 4, 8
 _LOW = U64(15)
+#: How the slot of a name at the very end of its text begins.
+_OPEN = "<name$>"
 _NAME_H, _NUMBER_H, _UNIT_H = U64(1 << 10), U64(2 << 10), U64(3 << 10)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -129,7 +133,11 @@ class Template:
             if self.kind[i]:
                 name = {_NUMBER: "<num>", _UNIT: "<unit>", _CAPITAL: "<name>"}[int(self.kind[i])]
                 words.append(name)
-                slots.append(f"{name}{self.value(i)}")
+                value = self.value(i)
+                if self.kind[i] == _CAPITAL and self.at[i] + value.count(" ") + 1 == len(self.raw):
+                    name = _OPEN
+                slots.append(f"{name}{value}")
+                name = name if name != _OPEN else "<name>"
             else:
                 words.append(self.raw[self.at[i]].lower())
         return " ".join(words), slots
@@ -202,18 +210,64 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = (_windowed(docs.select("key", "text"), lambda n: [k for k in lengths if k <= n], wanted)
              .select("key", F.explode("windows").alias("w")).select("key", "w.*"))
     met = found.join(F.broadcast(items) if few else items, ["hash", "template"])
-    aligned = met.select("key", "item_id", "n_item", (F.col("pos") - F.col("item_pos")).alias("shift"),
-                         "item_pos", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("s"))
-    judged = (aligned.groupBy("key", "item_id", "shift")
-              .agg(F.count_distinct("item_pos").alias("n_windows"), F.max("n_item").alias("n_item"),
-                   F.collect_set("s").alias("pairs")))
-    one_to_one = ((F.size(F.array_distinct(F.transform("pairs", lambda p: p.item_slots))) == F.size("pairs"))
-                  & (F.size(F.array_distinct(F.transform("pairs", lambda p: p.slots))) == F.size("pairs")))
-    return (judged.where(one_to_one).groupBy("key", "item_id")
+    judged = (met.groupBy("key", "item_id", "n_item", (F.col("pos") - F.col("item_pos")).alias("shift"))
+              .agg(F.collect_set(F.struct("item_pos", "item_slots", "slots")).alias("windows")))
+    schema = T.StructType([*judged.schema.fields[:-1], T.StructField("n_windows", T.LongType())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1024):
+            n = [counted(w) for w in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], names=schema.names)
+
+    return (judged.mapInArrow(count, schema).where("n_windows > 0").groupBy("key", "item_id")
             .agg(F.max("n_windows").alias("n_windows"),
                  F.max(F.col("n_windows") / F.col("n_item")).alias("share")))
 
 
+def _closed(slot: str) -> str:
+    return "<name>" + slot[len(_OPEN):] if slot.startswith(_OPEN) else slot
+
+
+def _pairs(window: dict) -> list[tuple[str, list[str]]]:
+    """(value of the item, values of the document that it may stand for) of each slot."""
+    out = []
+    for mine, other in zip(window["item_slots"], map(_closed, window["slots"])):
+        words = other.split(" ")
+        if mine.startswith(_OPEN):  # may run on: as long as the item's name, or any shorter or longer
+            k = min(mine.count(" ") + 1, len(words))
+            cuts = [k, *(i for i in range(1, len(words) + 1) if i != k)]
+            out.append((_closed(mine), [" ".join(words[:i]) for i in cuts]))
+        else:
+            out.append((mine, [other]))
+    return out
+
+
+def _consistent(pairs: list[tuple[str, list[str]]]) -> bool:
+    there, back = {}, {}
+    for mine, others in sorted(pairs, key=lambda p: len(p[1])):  # what is certain first
+        other = there.get(mine) if there.get(mine) in others else others[0]
+        if there.setdefault(mine, other) != other or back.setdefault(other, mine) != mine:
+            return False
+    return True
+
+
+def counted(windows: list[dict]) -> int:
+    """How many windows of an alignment (item_pos, item_slots, slots) count: those with the
+    item's own values, and those of consistent runs."""
+    runs: list[list] = []
+    for w in sorted(windows, key=lambda w: w["item_pos"]):
+        if not runs or runs[-1][-1][0] + 1 != w["item_pos"]:
+            runs.append([])
+        runs[-1].append((w["item_pos"], _pairs(w)))
+    n = 0
+    for run in runs:
+        if _consistent([p for _, pairs in run for p in pairs]):
+            n += len(run)
+        else:
+            n += sum(all(mine in others for mine, others in pairs) for _, pairs in run)
+    return n
+
+
 def text_key(text):
     """What equal texts share (null for null)."""
     return F.md5(F.col(text).cast("binary"))

@@ -226,6 +226,25 @@ def test_reparameterised_questions(spark, monkeypatch):
     assert D.leaks(docs, items.limit(0)).count() == 0 and D.leaks(docs.limit(0), items).count() == 0
 
 
+def test_verbatim_windows_beside_a_changed_value(spark):
+    from revspark.llm.decontaminate import leaks
+    body = "while the slow green train kept rolling past the wide empty fields and the low stone walls of a quiet farm"
+    items = spark.createDataFrame([
+        (1, f"the car went 60 km on the first day {body} and it went 60 km on the second"),
+        (2, f"the van went 40 km on the first night {body.replace('train', 'coach')} and it went 50 km on the next"),
+        (3, "we saw that Ann met her friends at the small market and later they all went home with Ann")],
+        "item_id long, text string")
+    texts = {r.item_id: r.text for r in items.collect()}
+    docs = spark.createDataFrame([
+        ("one of two equal", texts[1].replace("60 km on the second", "70 km on the second")),
+        ("two made equal", texts[2].replace("50 km", "40 km")),
+        ("runs on", texts[3] + " Then it rained."),
+        ("runs on, other name", texts[3].replace("Ann", "Mary Jones") + " Then it rained."),
+        ("another", texts[3].replace("with Ann", "with Eve").replace("that Ann", "that Bob"))], "key string, text string")
+    assert {(r.key, r.item_id) for r in leaks(docs, items).collect()} >= {
+        ("one of two equal", 1), ("two made equal", 2), ("runs on", 3), ("runs on, other name", 3)}
+
+
 def test_leaks_of_the_fixture(spark):
     from revspark.llm.decontaminate import op7_decontaminate, without_leaks
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
