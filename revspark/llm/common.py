@@ -39,6 +39,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str):
+    """The column of that very name, dots and backticks included."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def fold(id_col, modulus: int):
     """crc32 of the id as text, modulo ``modulus`` (null ids: null)."""
     return F.crc32(id_col.cast("string").cast("binary")) % modulus

@@ -13,6 +13,7 @@ from revspark.llm.jaccard import op9_ngram_jaccard
 from revspark.llm.language import op10_language_id
 from revspark.llm.licenses import op6_license_scan
 from revspark.llm.neighbours import op4_neighbours
+from revspark.llm.periodic import op12_periodic_runs
 from revspark.llm.quality import op2_quality
 from revspark.llm.substring import op8_substring_dedup
 from revspark.llm.url_filter import op5_url_filter
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
