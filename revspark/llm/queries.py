@@ -16,6 +16,7 @@ from revspark.llm.neighbours import op4_neighbours
 from revspark.llm.periodic import op12_periodic_runs
 from revspark.llm.quality import op2_quality
 from revspark.llm.substring import op8_substring_dedup
+from revspark.llm.suffixes import op13_suffix_dedup
 from revspark.llm.url_filter import op5_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
