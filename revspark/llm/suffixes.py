@@ -150,8 +150,8 @@ def _names(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _surveyed(bits: int):
     def run(rows: pa.Table) -> pa.Table:
-        """Per bucket the names of the shard's anchors, each as often as it has distinct
-        pieces (twice at least, if in two documents)."""
+        """Per bucket the names of the shard's anchors and the distinct pieces of each (two at
+        least, if in two documents)."""
         shard = Shard(rows)
         order = np.lexsort((shard.id, shard.key))
         key, ids = shard.key[order], shard.id[order]
@@ -161,12 +161,13 @@ def _surveyed(bits: int):
             distinct = (shard.same == np.arange(len(shard.same)))[order]
             two = ids[np.append(starts[1:], len(key)) - 1] != ids[starts]
             times = np.maximum(np.add.reduceat(distinct.astype(np.int64), starts), 1 + two)
-        bucket, name = _names(np.repeat(key[starts], times), bits)
+        bucket, name = _names(key[starts], bits)
         edges = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)]])
         number = rows.column("shard")[0].as_py()
         return pa.table({"shard": pa.array([number] * (len(edges) - 1), pa.int32()),
                          "bucket": pa.array(bucket[edges[:-1]], pa.int32()),
-                         "names": pa.array(_cut(name, edges), pa.binary())})
+                         "names": pa.array(_cut(name, edges), pa.binary()),
+                         "times": pa.array(_cut(times.astype(np.uint32), edges), pa.binary())})
     return run
 
 
@@ -174,7 +175,11 @@ def _recurring(rows: pa.Table) -> pa.Table:
     """Of a bucket, per shard the anchors that recur, and the power of two of parts that the
     strings of each go to (0: the pieces go whole)."""
     blobs = [np.frombuffer(b, np.uint32) for b in rows.column("names").to_pylist()]
-    names, n = np.unique(np.concatenate(blobs), return_counts=True)
+    every = np.concatenate(blobs)
+    times = np.concatenate([np.frombuffer(b, np.uint32) for b in rows.column("times").to_pylist()])
+    order = np.argsort(every, kind="stable")
+    starts = np.flatnonzero(np.diff(every[order].astype(np.int64), prepend=-1))
+    names, n = every[order][starts], np.add.reduceat(times[order].astype(np.int64), starts)
     names, n = names[n > 1], n[n > 1]
     parts = np.where(n > HOT, np.ceil(np.log2(np.maximum(n, HOT) / HOT)) + 1, 0).astype(np.uint8)
     out_names, out_parts = [], []
@@ -456,7 +461,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # equal rows of different partitions part, so that no shard fills with copies of one row
     base = base.withColumn("shard", F.pmod(F.xxhash64("id", "input", F.spark_partition_id()), F.lit(shards)).cast("int"))
     by_shard = base.groupBy("shard")      # one shuffle of the texts, read three times
-    survey = by_shard.applyInArrow(_surveyed(bits), "shard int, bucket int, names binary")
+    survey = by_shard.applyInArrow(_surveyed(bits), "shard int, bucket int, names binary, times binary")
     recurring = survey.groupBy("bucket").applyInArrow(_recurring, "shard int, bucket int, names binary, parts binary")
     sent = by_shard.cogroup(recurring.groupBy("shard")).applyInArrow(_sent(bits), _SENT)
     found = sent.groupBy("bucket", "part").applyInArrow(_grouped, _FOUND)
