@@ -106,7 +106,8 @@ def pieces(data: np.ndarray, ends: np.ndarray) -> Pieces:
     content = np.full(len(first), _TWO)
     for step in range(0, 2 * LENGTH - PHRASE, 8):
         content = mixed(content + words[np.minimum(first + step, last)] * _ONE)
-    return Pieces(h[a[new]], content + count.astype(U64), first, count)
+    # minima are small numbers: mixed once more they fill the buckets evenly
+    return Pieces(mixed(h[a[new]] + _TWO), content + count.astype(U64), first, count)
 
 
 class Shard:
