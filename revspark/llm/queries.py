@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revspark.llm import chat
+from revspark.llm import chat, collocations
 from revspark.llm.bpe import op3_byte_bpe
 from revspark.llm.decontaminate import op7_decontaminate
 from revspark.llm.jaccard import op9_ngram_jaccard
@@ -30,10 +30,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
+    "op11_collocations": collocations.op11_collocations,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_preference_format": chat.ORACLE_SQL,
+    "op11_collocations": collocations.ORACLE_SQL,
 }
