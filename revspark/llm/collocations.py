@@ -41,6 +41,7 @@ TOP = 2000
 SHARD_BYTES = 8 << 20
 RANGE_BYTES = 4 << 20      # of text, for one range
 SAMPLE_BYTES = 16 << 20
+BROADCAST_LANGS = 10_000
 PART_ROWS = 100_000        # lookups of one part that meet in one group
 
 _ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
@@ -367,6 +368,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
         F.col("a").alias("longer"))
     inner = inner.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     total = counted.where("size = 0").select("lang", F.col("n").alias("total"))
+    if total.count() <= BROADCAST_LANGS:      # a language's rows stay where they are
+        total = F.broadcast(total)
     exact = "decimal(38,0)"
     scores = F.array_min(F.filter(F.array(*[F.when(F.col(f"l{k}").isNotNull(), F.struct(
         F.expr(f"(cast(1000 as {exact}) * cast(a as decimal(19,0)) * cast(total as decimal(19,0))) "
