@@ -11,7 +11,7 @@ def rhu(expr: str, n: int) -> str:
 
 
 def msum(expr: str) -> str:
-    return f"cast(sum(cast({expr} as decimal(28,2))) as double)"
+    return f"cast(sum(cast({expr} as decimal(28,4))) as double)"
 
 
 def pct(num: str, den: str, n: int = 2) -> str:
@@ -80,7 +80,7 @@ from (select product_name, revenue_month, revenue_usd,
 
 SELECTS["revenue_by_region"] = """
 select t.regional_office, cast(sum(a.r) as double) as revenue_usd, cast(sum(a.n) as bigint) as deals_won
-from (select agent_name, sum(cast(close_value_usd as decimal(28,2))) as r, count(*) as n
+from (select agent_name, sum(cast(close_value_usd as decimal(28,4))) as r, count(*) as n
       from fct_sales_pipeline where deal_stage = 'Won' group by agent_name) a
   left join dim_sales_teams t on a.agent_name = t.agent_name
 group by t.regional_office"""
@@ -120,12 +120,12 @@ from (select product_name, p,
         sum(p) over (order by p desc nulls last, product_name asc nulls last
                      rows between unbounded preceding and current row) as cum,
         sum(p) over () as tot
-      from (select product_name, sum(cast(net_profit_usd as decimal(28,2))) as p
+      from (select product_name, sum(cast(net_profit_usd as decimal(28,4))) as p
             from fct_sales_pipeline where deal_stage = 'Won' group by product_name) x
       where p is not null) y"""
 
 cte("x_agent_effort_revenue", """
-select agent_name, sum(cast(total_revenue_usd as decimal(28,2))) as r,
+select agent_name, sum(cast(total_revenue_usd as decimal(28,4))) as r,
   cast(sum(total_effort_minutes) as bigint) as m
 from fct_sales_performance where agent_name is not null group by agent_name""")
 
@@ -171,8 +171,8 @@ from dim_accounts where churn_risk in ('High', 'Medium')
 order by health_score asc nulls last, account_name asc nulls last"""
 
 cte("x_perf_keyed", """
-select agent_name, period_month, sum(cast(total_revenue_usd as decimal(28,2))) as r,
-  sum(cast(quota_amount_usd as decimal(28,2))) as q
+select agent_name, period_month, sum(cast(total_revenue_usd as decimal(28,4))) as r,
+  sum(cast(quota_amount_usd as decimal(28,4))) as q
 from fct_sales_performance where agent_name is not null and period_month is not null
 group by agent_name, period_month""")
 
@@ -211,7 +211,7 @@ cte("x_agent_baseline", """
 select agent_name, count(*) as months_with_wins,
   cast(sum(r) as double) / cast(count(*) as double) as avg_monthly_revenue_usd
 from (select agent_name, strftime(close_date, '%Y-%m') as m,
-        coalesce(sum(cast(close_value_usd as decimal(28,2))), 0) as r
+        coalesce(sum(cast(close_value_usd as decimal(28,4))), 0) as r
       from stg_sales_pipeline
       where deal_stage = 'Won' and agent_name is not null and close_date is not null
       group by 1, 2) t
@@ -274,7 +274,7 @@ from (select a.account_name, cast(coalesce(w.n, 0) as bigint) as won_deals,
         coalesce(w.r, cast(0 as double)) as won_revenue_usd
       from stg_accounts a left join
         (select account_name, count(opportunity_id) as n,
-                cast(sum(cast(close_value_usd as decimal(28,2))) as double) as r
+                cast(sum(cast(close_value_usd as decimal(28,4))) as double) as r
          from stg_sales_pipeline where deal_stage = 'Won' and account_name is not null
          group by account_name) w on a.account_name = w.account_name) t"""
 
@@ -307,3 +307,42 @@ SELECTS["load_audit"] = "\nunion all\n".join(
        + " as bigint) as \"rows\", 'loaded' as status"])
 
 SELECTS["csv_roundtrip"] = "select * from sales_pipeline"
+
+cte("x_tickets", """
+select *, cast(regexp_extract(ticket_id, '(\\d+)$', 1) as bigint) as k,
+  cast(regexp_extract(ticket_id, '(\\d+)$', 1) as bigint)
+    = max(cast(regexp_extract(ticket_id, '(\\d+)$', 1) as bigint)) over () as is_last
+from support_tickets""")
+
+_TICKET_FACTS = [
+    ("loaded", None, "not is_last and k % 8 <> 1"), ("short", None, "not is_last and k % 8 = 0"),
+    ("long", None, "not is_last and k % 8 = 1"), ("broken", None, "is_last"),
+    ("lost", "created_date", "not is_last and k % 8 = 2"), ("lost", "resolved_date", "false"),
+    ("lost", "resolution_hours", "not is_last and k % 8 = 4"), ("lost", "satisfaction_rating", "false"),
+    ("line breaks", "account", "not is_last and k % 8 = 3 and account is not null"),
+]
+
+SELECTS["load_rejects"] = "\nunion all\n".join(
+    [f"select 'support_tickets' as table_name, '{kind}' as kind, cast({column!r} as varchar) as column_name, "
+     .replace("None", "null") + f"cast(count_if({rule}) as bigint) as n from x_tickets"
+     for kind, column, rule in _TICKET_FACTS]
+    + ["select 'support_tickets', 'distinct ids', 'ticket_id', count(distinct ticket_id) from x_tickets "
+       "where not is_last and k % 8 <> 1"])
+
+_LANDED = ("accounts", "quotas", "support_tickets")
+SELECTS["load_missing_files"] = "\nunion all\n".join(
+    [f"select '{t}' as table_name, '{s}' as source_system, "
+     + (f"(select count(*) from {t}) as \"rows\", 'loaded' as status" if t in _LANDED
+        else "cast(null as bigint) as \"rows\", 'missing' as status") for t, s in LOADS]
+    + ["select 'TOTAL', cast(null as varchar), cast(" + " + ".join(f"(select count(*) from {t})" for t in _LANDED)
+       + " as bigint), 'loaded'"])
+
+SELECTS["views_over_marts"] = """
+select t.manager_name, count(*) as deals_won, q.quota_rows,
+  cast(sum(cast(f.close_value_usd as decimal(28,4))) as double) as revenue_usd
+from fct_sales_pipeline f join dim_sales_teams t on f.agent_name = t.agent_name
+join (select manager_name, count(*) as quota_rows from stg_quotas group by manager_name) q
+  on q.manager_name = t.manager_name
+where f.deal_stage = 'Won' group by t.manager_name, q.quota_rows"""
+
+SELECTS["mart_refresh"] = "select * from dim_accounts"

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 
 from revspark.plans.project import MART_MODELS, Project
 from revspark.session import get_spark
+from revspark.sources.sinks import current
 
 
 class BuiltProject(Project):
@@ -32,7 +33,8 @@ class BuiltProject(Project):
 
     def stored(self, name: str) -> DataFrame:
         if name in MART_MODELS:  # any URI that Spark reads; a mart that is not built is an error
-            return self._spark.read.parquet(f"{self.marts.rstrip('/')}/{name}").select(*self.model(name).columns)
+            folder = current(self._spark, f"{self.marts.rstrip('/')}/{name}")
+            return self._spark.read.parquet(folder).select(*self.model(name).columns)
         return super().stored(name)
 
 

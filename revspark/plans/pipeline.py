@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from revspark.operators.quality import run_checks
 from revspark.plans.project import MART_MODELS, Project
 from revspark.plans.quality import MART_TABLES, TESTED_KEYS
-from revspark.sources.sinks import run_concurrently, write_marts, write_table
+from revspark.sources.sinks import publish, run_concurrently, write_marts
 
 
 # The performance fact is written in month directories: dashboard filters on
@@ -29,10 +29,10 @@ def run(spark: SparkSession, project: Project, out_root: str,
     """Build every mart under ``out_root``; returns readers of the written tables
     plus ``dq_results``."""
     deals_path = os.path.join(out_root, "int_deal_economics")
-    write_table(project.int_deal_economics, deals_path)
+    deals = publish(project.int_deal_economics, deals_path)
     # a fresh DAG over the same source whose deal model is the written table
     project = Project(project.source, project.quota_keys)
-    project.__dict__["int_deal_economics"] = spark.read.parquet(deals_path)
+    project.__dict__["int_deal_economics"] = spark.read.parquet(deals)
 
     view_keys = [(m, c) for m, c in TESTED_KEYS if m not in MART_TABLES]
     mart_keys = [(m, c) for m, c in TESTED_KEYS if m in MART_TABLES]
@@ -42,15 +42,14 @@ def run(spark: SparkSession, project: Project, out_root: str,
         return write_marts(spark, {m: project.model(m) for m in MART_MODELS}, out_root,
                            partitions=MART_PARTITIONS if partitions is None else partitions)
 
-    def test_views() -> None:
+    def test_views() -> str:
         views = {m: project.model(m) for m, _ in view_keys}
-        write_table(run_checks(views, view_keys), view_results)
+        return publish(run_checks(views, view_keys), view_results)
 
-    written, _ = run_concurrently([build_marts, test_views], threads=2)
+    written, tested = run_concurrently([build_marts, test_views], threads=2)
     written["int_deal_economics"] = project.int_deal_economics
 
     dq_path = os.path.join(out_root, "dq_results")
-    results = spark.read.parquet(view_results).unionByName(run_checks(written, mart_keys))
-    write_table(results, dq_path)
-    written["dq_results"] = spark.read.parquet(dq_path)
+    results = spark.read.parquet(tested).unionByName(run_checks(written, mart_keys))
+    written["dq_results"] = spark.read.parquet(publish(results, dq_path))
     return written

@@ -12,17 +12,19 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revspark.operators import quality as Q
 from revspark.plans import intermediate as I
 from revspark.plans import metrics as DSH
 from revspark.plans import targets as TG
-from revspark.plans.project import INTERMEDIATE_MODELS, MART_MODELS, STAGING_MODELS, Project
+from revspark.plans.project import INTERMEDIATE_MODELS, MART_MODELS, STAGING_MODELS, VIEW_MODELS, Project
 from revspark.plans.quality import dq_suite
 from revspark.session import scratch_path
-from revspark.sources.csv import ingest, read_raw
+from revspark.sources.binding import parquet_source
+from revspark.sources.csv import ingest, load_report, read_raw
 from revspark.sources.schemas import TABLES
-from revspark.sources.sinks import export_csv, run_concurrently
+from revspark.sources.sinks import export_csv, publish_table, register_views, run_concurrently, write_marts
 from revspark.sources.testdata import TestdataSource
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +81,89 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, path, spec)
 
 
+def _as_lines(rows: DataFrame, spec_columns: list[str], path: str, line) -> None:
+    """CSV files at ``path`` (added to) whose records are the text ``line``, under one header."""
+    header = ",".join(spec_columns)
+    (rows.select(line.alias(header)).write.mode("append").option("header", True).option("quote", "\0")
+     .option("sep", "\x01").option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def damaged_tickets(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The support tickets as CSV files in which, by the number in the ticket's id modulo 8, records
+    are short (0), long (1), hold an unreadable date (2), a line break in quotes (3), an unreadable
+    number (4), or stand under another header (5); the last ticket's quote is never closed."""
+    names = TABLES["support_tickets"].schema.names
+    rows = TestdataSource(spark, sf_dir).table("support_tickets").withColumn(
+        "k", F.regexp_extract("ticket_id", r"(\d+)$", 1).cast("bigint"))
+    k, last = F.col("k") % 8, F.col("k") == rows.select(F.max("k")).scalar()
+    text = {c: F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'), F.lit('""')),
+                        F.lit('"')) for c in names}
+    text["created_date"] = F.when(k == 2, F.lit("some day")).otherwise(text["created_date"])
+    text["account"] = F.when(k == 3, F.concat(F.lit('"'), F.col("account"), F.lit('\nInc"'))).otherwise(text["account"])
+    text["resolution_hours"] = F.when(k == 4, F.lit("soon")).otherwise(text["resolution_hours"])
+    whole, short = (F.concat_ws(",", *[text[c] for c in part]) for part in (names, names[:7]))
+    line = F.when(k == 0, short).when(k == 1, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    _as_lines(rows.where(~last & (k != 5)), names, path, line)
+    _as_lines(rows.where(~last & (k == 5)), names[::-1], path, F.concat_ws(",", *[text[c] for c in names[::-1]]))
+    _as_lines(rows.where(last).coalesce(1), names, path, F.concat(text["ticket_id"], F.lit(',"never closed,,')))
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of damaged files reports: records loaded, short, long and broken, values lost,
+    and the distinct ids and line breaks that arrived."""
+    run, spec = scratch_path(spark, f"rejects-{uuid.uuid4().hex}"), TABLES["support_tickets"]
+    damaged_tickets(spark, sf_dir, os.path.join(run, "landing", spec.file))
+    ingest(spark, os.path.join(run, "landing"), os.path.join(run, "warehouse"), {spec.name: spec})
+    loaded = parquet_source(spark, os.path.join(run, "warehouse"))(spec.name)
+    seen = loaded.agg(F.countDistinct("ticket_id").alias("ticket_id"),
+                      F.count_if(F.contains("account", F.lit("\n"))).alias("account"))
+    facts = seen.select(F.lit(spec.name).alias("table_name"), F.inline(F.array(
+        F.struct(F.lit("distinct ids").alias("kind"), F.lit("ticket_id").alias("column_name"), F.col("ticket_id").alias("n")),
+        F.struct(F.lit("line breaks").alias("kind"), F.lit("account").alias("column_name"), F.col("account").alias("n")))))
+    return load_report(spark, os.path.join(run, "warehouse")).unionByName(facts)
+
+
+def load_missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of a load whose landing folder lacks files (SRC-05)."""
+    run = scratch_path(spark, f"missing-{uuid.uuid4().hex}")
+    for name in ("accounts", "quotas", "support_tickets"):
+        export_csv(TestdataSource(spark, sf_dir).table(name), os.path.join(run, "landing", TABLES[name].file))
+    return ingest(spark, os.path.join(run, "landing"), os.path.join(run, "warehouse"))
+
+
+def views_over_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-01 and SNK-02: marts written, the models in front of them registered as views, and both
+    asked in SQL: won deals, revenue and quota rows of each manager."""
+    p = project(spark, sf_dir)
+    root = scratch_path(spark, f"marts-{uuid.uuid4().hex}")
+    marts = write_marts(spark, {m: p.model(m) for m in ("dim_sales_teams", "fct_sales_pipeline")}, root)
+    register_views({**{m: p.model(m) for m in VIEW_MODELS}, **marts})
+    return spark.sql("""
+        SELECT t.manager_name, count(*) AS deals_won, q.quota_rows,
+               cast(sum(cast(f.close_value_usd AS decimal(28,10))) AS double) AS revenue_usd
+        FROM fct_sales_pipeline f JOIN dim_sales_teams t ON f.agent_name = t.agent_name
+        JOIN (SELECT manager_name, count(*) AS quota_rows FROM stg_quotas GROUP BY manager_name) q
+          ON q.manager_name = t.manager_name
+        WHERE f.deal_stage = 'Won' GROUP BY t.manager_name, q.quota_rows""")
+
+
+def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-02: what a reader of the accounts mart gets after a rebuild that failed half way."""
+    mart = project(spark, sf_dir).dim_accounts
+    name = uuid.uuid4().hex
+    path, table = scratch_path(spark, f"refresh-{name}/dim_accounts"), f"dim_accounts_{name[:12]}"
+    out = publish_table(mart, table, path)
+    last = mart.select(F.max("account_name")).scalar()
+    failing = mart.withColumn("sector", F.when(F.col("account_name") == last, F.raise_error(F.lit("rebuild stopped")))
+                              .otherwise(F.col("sector")))
+    try:
+        publish_table(failing, table, path)
+    except Exception as ex:      # the failure is the point of this query; any other one is not
+        if "rebuild stopped" not in str(ex):
+            raise
+    return out
+
+
 QUERIES: dict[str, Query] = {}
 for _n in STAGING_MODELS + INTERMEDIATE_MODELS:
     QUERIES[_n] = _model(_n)
@@ -136,6 +221,10 @@ for _n, _f in _MART_STEPS.items():
     QUERIES[_n] = _step(_f, _n)
 QUERIES["load_audit"] = load_audit
 QUERIES["csv_roundtrip"] = csv_roundtrip
+QUERIES["load_rejects"] = load_rejects
+QUERIES["load_missing_files"] = load_missing_files
+QUERIES["views_over_marts"] = views_over_marts
+QUERIES["mart_refresh"] = mart_refresh
 
 
 def query_on(p: Project, name: str) -> DataFrame:

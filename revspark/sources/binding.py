@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from revspark.sources.schemas import RAW_SCHEMAS
+from revspark.sources.sinks import current
 
 Source = Callable[[str], DataFrame]
 
@@ -20,7 +21,7 @@ Source = Callable[[str], DataFrame]
 def parquet_source(spark: SparkSession, root: str) -> Source:
     """Raw tables stored as ``root/<name>`` parquet folders (what ``ingest`` writes)."""
     def read(name: str) -> DataFrame:
-        return spark.read.schema(RAW_SCHEMAS[name]).parquet(os.path.join(root, name))
+        return spark.read.schema(RAW_SCHEMAS[name]).parquet(current(spark, os.path.join(root, name)))
     read.root = root  # type: ignore[attr-defined]
     return read
 

@@ -54,7 +54,9 @@ class TableSpec:
     name: str
     file: str          # path relative to the landing root
     source_system: str  # report-only label
-    multi_line: bool = False  # quoted line breaks: such a file is read by one task
+    # quoted line breaks are data; each file is then read by one task, so large exports
+    # should be landed as a folder of many files
+    multi_line: bool = True
 
     @property
     def schema(self) -> T.StructType:
@@ -70,7 +72,7 @@ TABLES: dict[str, TableSpec] = {t.name: t for t in [
     TableSpec("quotas", "generated/quotas.csv", "crm_quotas"),
     TableSpec("activities", "generated/activities.csv", "crm_activities"),
     TableSpec("costs", "generated/costs.csv", "erp"),
-    TableSpec("nps_surveys", "generated/nps_surveys.csv", "survey_tool", multi_line=True),
+    TableSpec("nps_surveys", "generated/nps_surveys.csv", "survey_tool"),
     TableSpec("support_tickets", "generated/support_tickets.csv", "support_platform"),
 ]}
 

@@ -57,7 +57,8 @@ def duck():
 
 PARITY_KEYS = ["int_sales_performance", "int_customer_health", "fct_sales_pipeline",
                "stg_quotas", "dq_suite", "profit_pareto", "rolling_attainment", "quota_targets",
-               "kpi_executive", "revenue_by_region"]
+               "kpi_executive", "revenue_by_region", "load_rejects", "load_missing_files",
+               "views_over_marts", "mart_refresh"]
 
 
 @pytest.mark.parametrize("key", PARITY_KEYS)
