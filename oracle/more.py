@@ -346,3 +346,59 @@ join (select manager_name, count(*) as quota_rows from stg_quotas group by manag
 where f.deal_stage = 'Won' group by t.manager_name, q.quota_rows"""
 
 SELECTS["mart_refresh"] = "select * from dim_accounts"
+
+# ---------------------------------------------------------------- keys over several columns
+GRAINS = [("fct_sales_performance", ("agent_name", "period_month")), ("fct_sales_pipeline", ("opportunity_id",)),
+          ("stg_quotas", ("agent_name", "quota_month")), ("stg_nps_surveys", ("account_name", "response_date"))]
+
+
+def _grain(model: str, cols: tuple[str, ...]) -> str:
+    whole = " and ".join(f"{c} is not null" for c in cols)
+    head = f"select '{model}' as model, '{', '.join(cols)}' as column_name, "
+    return " union all ".join(
+        f"{head}'{test}' as test, cast(n as bigint) as failures, case when n = 0 then 'pass' else 'fail' end as status "
+        f"from (select count(*) as n from {source}) t"
+        for test, source in (
+            ("unique", f"(select 1 from {model} where {whole} group by {', '.join(cols)} having count(*) > 1) d"),
+            ("not_null", f"{model} where not ({whole})")))
+
+
+SELECTS["dq_grain"] = "\nunion all\n".join(_grain(m, c) for m, c in GRAINS)
+SELECTS["dq_unique_key"] = """
+select sales_agent, manager, count(*) as n from quotas
+where sales_agent is not null and manager is not null group by sales_agent, manager having count(*) > 1"""
+
+SELECTS["surrogate_ids"] = "\nunion all\n".join(
+    f"select '{t}' as table_name, {key} as source_id, '{prefix}' || printf('%0{width}d', "
+    f"row_number() over (order by {parent} nulls last, {day} nulls last, {key} nulls last)) as surrogate_id from {t}"
+    for t, prefix, width, parent, day, key in (
+        ("activities", "ACT-", 6, "opportunity_id", "activity_date", "activity_id"),
+        ("nps_surveys", "NPS-", 5, "account", "survey_sent_date", "survey_id"),
+        ("support_tickets", "TKT-", 6, "account", "created_date", "ticket_id")))
+
+# ---------------------------------------------------------------- drill-downs
+SELECTS["attainment_heatmap_team"] = f"""
+select t.regional_office, p.period_month, count(*) as agent_months,
+  {rhu('cast(sum(cast(quota_attainment_pct as decimal(18,1))) as double) / cast(count(*) as double)', 2)}
+    as avg_attainment_pct
+from fct_sales_performance p left join dim_sales_teams t on t.agent_name = p.agent_name
+where p.quota_attainment_pct is not null group by t.regional_office, p.period_month"""
+
+SELECTS["attainment_matrix"] = "select regional_office, " + ", ".join(
+    rhu(f"cast(sum(case when period_month = '1998-{m:02d}' then cast(quota_attainment_pct as decimal(18,1)) end) as double)"
+        f" / cast(count(case when period_month = '1998-{m:02d}' then 1 end) as double)", 2) + f" as m1998_{m:02d}"
+    for m in range(1, 13)) + """
+from fct_sales_performance
+where quota_attainment_pct is not null and period_month between '1998-01' and '1998-12' group by regional_office"""
+
+SELECTS["drill_manager"] = """
+select p.* from fct_sales_performance p join dim_sales_teams t
+  on t.agent_name = p.agent_name and t.regional_office = p.regional_office
+where t.manager_name = 'NATION_1'"""
+SELECTS["drill_region_quarter"] = """
+select * from fct_sales_performance
+where regional_office = 'EUROPE' and period_month in ('1998-04', '1998-05', '1998-06')"""
+SELECTS["drill_series"] = """
+select f.*, strftime(f.close_date, '%Y-%m') as close_month from fct_sales_pipeline f
+where year(f.close_date) = 1997
+  and f.product_name in (select product_name from dim_products where product_series = 'Brand#11')"""

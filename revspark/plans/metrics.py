@@ -5,19 +5,23 @@ behind their tiles. Formulas follow the published KPI definitions (average
 deal size divides by won deals). Ratios are rounded half away from zero;
 money is summed in cents. No metric orders all rows in one task: global
 shares use an aggregate computed once and shipped as a scalar; running totals
-and ranks use range partitioning.
+and ranks use ranges and histograms.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revspark.functions.numeric import MONEY, money_sum, round_half_up
-from revspark.operators.cumulative import rank_desc, running_total
+from revspark.operators.cumulative import cumulative_share, rank_desc
 
 AT_RISK = ("High", "Medium")
 QUOTA_BEAT_PCT = 100
+MATRIX_MONTHS = tuple(f"1998-{m:02d}" for m in range(1, 13))
 
 
 def _ratio_pct(num: Column | str, den: Column | str, scale: int = 2) -> Column:
@@ -90,7 +94,7 @@ def revenue_by_region(fct: DataFrame, teams: DataFrame) -> DataFrame:
 # DSH-05
 def stage_mix(fct: DataFrame) -> DataFrame:
     per_stage = fct.groupBy("deal_stage").agg(F.count(F.lit(1)).alias("deals"))
-    total = fct.select(F.count(F.lit(1))).scalar()
+    total = per_stage.select(F.sum("deals")).scalar()   # from the few rows of the stages
     return per_stage.withColumn("share_pct", _ratio_pct(F.col("deals"), total))
 
 
@@ -142,15 +146,13 @@ def profit_pareto(fct: DataFrame) -> DataFrame:
                       .groupBy("product_name")
                       .agg(F.sum(F.col("net_profit_usd").cast(MONEY)).alias("_profit"))
                       .filter(F.col("_profit").isNotNull()))
-    order = [F.desc("_profit"), F.asc_nulls_last("product_name")]
-    cum = running_total(per_product, order, "_profit", "_cum")
-    total = per_product.select(F.sum("_profit")).scalar()
+    cum = cumulative_share(per_product, "_profit", "product_name", "_cum", "_total")
+    share = F.col("_cum").cast("double") / F.col("_total").cast("double") * 100
     return cum.select(
         "product_name",
         F.col("_profit").cast("double").alias("net_profit_usd"),
         F.col("_cum").cast("double").alias("cumulative_profit_usd"),
-        F.when(total > 0, round_half_up(F.col("_cum").cast("double") / total.cast("double") * 100, 2))
-        .alias("cumulative_share_pct"))
+        F.when(F.col("_total") > 0, round_half_up(share, 2)).alias("cumulative_share_pct"))
 
 
 def _agent_effort_revenue(perf: DataFrame) -> DataFrame:
@@ -220,6 +222,19 @@ def attainment_heatmap(perf: DataFrame, teams: DataFrame | None = None) -> DataF
                       .alias("avg_attainment_pct"))
 
 
+def attainment_matrix(perf: DataFrame, months: Sequence[str] = MATRIX_MONTHS) -> DataFrame:
+    """The heatmap as a matrix: a row for each regional office, a column for each of ``months``.
+
+    The months are given, so no job has to look for them first.
+    """
+    rated = perf.filter(F.col("quota_attainment_pct").isNotNull() & F.col("period_month").isin(*months))
+    wide = (rated.groupBy("regional_office").pivot("period_month", list(months))
+                 .agg(_sum_tenths("quota_attainment_pct").alias("s"), F.count(F.lit(1)).alias("n")))
+    return wide.select("regional_office", *[
+        round_half_up(F.col(f"{m}_s") / F.col(f"{m}_n").cast("double"), 2).alias(f"m{m.replace('-', '_')}")
+        for m in months])
+
+
 # DSH-15
 def accounts_at_risk(accounts: DataFrame, k: int | None = None) -> DataFrame:
     """All at-risk accounts, lowest health first; with ``k`` only the first k."""
@@ -231,13 +246,15 @@ def accounts_at_risk(accounts: DataFrame, k: int | None = None) -> DataFrame:
 
 
 # DSH-16
-def rolling_attainment(perf: DataFrame, months: int = 3) -> DataFrame:
+def rolling_attainment(perf: DataFrame, months: int = 3, longest_gap: int = 120) -> DataFrame:
     """Revenue over quota across each agent's last ``months`` calendar months.
 
-    Each of an agent's months is followed by the months up to the next one it has,
-    without revenue or quota of their own; the window runs over a month number, so
-    that it spans exactly that many calendar months. A month that is no ``yyyy-MM``
-    is a row by itself, outside every other month's window.
+    A month adds its amounts when it comes and takes them back ``months`` later; the running
+    sum of these changes is the window's total from one change to the next. Result rows are
+    made from the changes: one for each calendar month from an agent's first to its last.
+    Between two months of an agent at most ``longest_gap`` empty ones are told after the last
+    change, so that a mistyped far month cannot fill the result; a month that is no
+    ``yyyy-MM`` is a row by itself, outside every other month's window.
     """
     keyed = (perf.filter(F.col("agent_name").isNotNull() & F.col("period_month").isNotNull())
                  .groupBy("agent_name", "period_month")
@@ -245,20 +262,36 @@ def rolling_attainment(perf: DataFrame, months: int = 3) -> DataFrame:
                       F.sum(F.col("quota_amount_usd").cast(MONEY)).alias("_quota")))
     first = F.try_to_date(F.concat("period_month", F.lit("-01")), "yyyy-MM-dd")
     number = F.year(first) * 12 + F.month(first) - 1
-    dated = keyed.withColumn("_n", F.when(F.col("period_month").rlike(r"^\d{4}-\d{2}$"), number))
+    zero = F.lit(0).cast("decimal(38,10)")
+    dated = keyed.select(
+        "agent_name", "period_month",
+        F.when(F.col("period_month").rlike(r"^\d{4}-\d{2}$"), number).alias("_n"),
+        F.coalesce("_rev", zero).alias("_rev"), F.coalesce("_quota", zero).alias("_quota"))
     # a malformed month is its own series
-    series = ["agent_name", F.when(F.col("_n").isNull(), F.col("period_month"))]
-    later = F.lead("_n").over(Window.partitionBy(*series).orderBy("_n"))
-    gap = F.when(later.isNull(), F.array("_n")).otherwise(F.sequence(F.col("_n"), later - 1))
-    filled = (dated.withColumn("_gap", gap).withColumn("_m", F.explode("_gap"))
-              .withColumn("_own", F.col("_m").eqNullSafe(F.col("_n"))))
-    w = Window.partitionBy(*series).orderBy("_m").rangeBetween(-(months - 1), Window.currentRow)
-    own = lambda c: F.when(F.col("_own"), F.col(c))
-    total = lambda c: F.coalesce(F.sum(own(c)).over(w), F.lit(0).cast(MONEY)).cast("double")
-    month = F.when(F.col("_m").isNull(), F.col("period_month")).otherwise(F.concat_ws(
-        "-", F.lpad(F.floor(F.col("_m") / 12).cast("string"), 4, "0"), F.lpad((F.col("_m") % 12 + 1).cast("string"), 2, "0")))
-    out = filled.select("agent_name", month.alias("period_month"),
-                        total("_rev").alias("revenue_3m_usd"), total("_quota").alias("quota_3m_usd"))
+    series = dated.withColumn("_odd", F.when(F.col("_n").isNull(), F.col("period_month")))
+    changes = series.select("agent_name", "_odd", F.inline(F.array(
+        F.struct(F.col("_n").alias("_m"), F.lit(True).alias("_own"), F.col("_rev").alias("_rev"), F.col("_quota").alias("_quota")),
+        F.struct((F.col("_n") + months).alias("_m"), F.lit(False).alias("_own"), (-F.col("_rev")).alias("_rev"),
+                 (-F.col("_quota")).alias("_quota")))))
+    changes = changes.where(F.col("_own") | F.col("_m").isNotNull())
+    of = Window.partitionBy("agent_name", "_odd")
+    until = of.orderBy("_m").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    told = changes.select(
+        "agent_name", "_odd", "_m", F.sum("_rev").over(until).alias("_rev"), F.sum("_quota").over(until).alias("_quota"),
+        F.lead("_m").over(of.orderBy("_m")).alias("_next"),
+        F.max(F.when(F.col("_own"), F.col("_m"))).over(of).alias("_last"))
+    # of changes in one month the last stands for all; nothing is told after the agent's last month
+    told = told.where(F.col("_m").isNull() | ((F.col("_m") <= F.col("_last")) & (
+        F.col("_next").isNull() | (F.col("_next") > F.col("_m")))))
+    end = F.least(F.coalesce(F.col("_next") - 1, F.col("_m")), F.col("_last"), F.col("_m") + longest_gap)
+    rows = told.withColumn("_month", F.explode(F.when(F.col("_m").isNull(), F.array(F.col("_m")))
+                                               .otherwise(F.sequence(F.col("_m"), end))))
+    month = F.when(F.col("_m").isNull(), F.col("_odd")).otherwise(F.concat_ws(
+        "-", F.lpad(F.floor(F.col("_month") / 12).cast("string"), 4, "0"),
+        F.lpad((F.col("_month") % 12 + 1).cast("string"), 2, "0")))
+    out = rows.select("agent_name", month.alias("period_month"),
+                      F.col("_rev").cast("double").alias("revenue_3m_usd"),
+                      F.col("_quota").cast("double").alias("quota_3m_usd"))
     return out.withColumn("rolling_attainment_pct",
                           F.when(F.col("quota_3m_usd") > 0,
                                  round_half_up(F.col("revenue_3m_usd") / F.col("quota_3m_usd") * 100, 1)))
@@ -268,8 +301,8 @@ def rolling_attainment(perf: DataFrame, months: int = 3) -> DataFrame:
 def quota_leaderboard(perf: DataFrame) -> DataFrame:
     """Agents ranked by attainment within each month (ties share a rank).
 
-    The rank counts better rows through range-partitioned running totals,
-    so a month with a third of all agent-months is not sorted in one task.
+    The rank counts better rows through one histogram of (month, attainment), so a month
+    with a third of all agent-months is not sorted in one task.
     """
     rated = (perf.filter(F.col("quota_attainment_pct").isNotNull())
                  .select("period_month", "agent_name", "regional_office", "quota_attainment_pct",
@@ -288,6 +321,44 @@ def drill_down(df: DataFrame, **equals: object) -> DataFrame:
     return df.filter(cond)
 
 
+def drill_dimension(fact: DataFrame, dimension: DataFrame, on: Sequence[str], **equals: object) -> DataFrame:
+    """The fact's rows of the dimension members with column = value.
+
+    A semi join: where ``on`` holds a directory column of the stored fact, Spark takes the
+    members' values as a filter on the directories at run time (dynamic partition pruning).
+    """
+    members = drill_down(dimension, **equals).select(*on)
+    return fact.join(members, list(on), "left_semi")
+
+
+def drill_manager(perf: DataFrame, teams: DataFrame, manager: str = "NATION_1") -> DataFrame:
+    """A manager's agent-months; the manager's offices prune the fact's regions."""
+    return drill_dimension(perf, teams, ["regional_office", "agent_name"], manager_name=manager)
+
+
+def drill_region_quarter(perf: DataFrame, months: DataFrame, region: str = "EUROPE", year: int = 1998,
+                         quarter: int = 2) -> DataFrame:
+    """A region's agent-months in a quarter: the region is a static filter on directories, the
+    quarter's months prune at run time."""
+    return drill_dimension(drill_down(perf, regional_office=region), months, ["period_month"],
+                           year=year, quarter=quarter)
+
+
+def drill_series(fct: DataFrame, products: DataFrame, months: DataFrame, series: str = "Brand#11",
+                 year: int = 1997) -> DataFrame:
+    """Deals of a product series closed in a year; the year's months prune the deal fact."""
+    closed = drill_dimension(fct, months.withColumnRenamed("period_month", "close_month"), ["close_month"], year=year)
+    return drill_dimension(closed, products, ["product_name"], product_series=series)
+
+
+def month_dimension(*months: DataFrame) -> DataFrame:
+    """(period_month, year, quarter) of every ``yyyy-MM`` in the given one-column tables."""
+    found = reduce(DataFrame.union, months).toDF("period_month").where(
+        F.col("period_month").rlike(r"^\d{4}-\d{2}$")).distinct()
+    day = F.to_date(F.concat("period_month", F.lit("-01")))
+    return found.select("period_month", F.year(day).alias("year"), F.quarter(day).alias("quarter"))
+
+
 def mart_filter(perf: DataFrame, region: str = "EUROPE", first_month: str = "1998-03",
                 last_month: str = "1998-06") -> DataFrame:
     """Example drill-down: one region's agent-months over a month range."""

@@ -13,6 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from revspark.functions.rules import month_key
 from revspark.plans import intermediate as I
 from revspark.plans import marts as M
 from revspark.plans import staging as S
@@ -89,6 +90,26 @@ class Project:
         spark = self.model(name).sparkSession
         return land_once(spark, self.namespace, name, lambda: self.model(name))
 
+    # stored copies for drill-downs: the facts in directories of month and region, and the months
+    def stored_performance(self) -> DataFrame:
+        from revspark.sources.sinks import land_once
+        perf = self.stored("fct_sales_performance")
+        return land_once(perf.sparkSession, self.namespace, "fct_sales_performance", lambda: perf,
+                         ("period_month", "regional_office"))
+
+    def stored_pipeline(self) -> DataFrame:
+        from revspark.sources.sinks import land_once
+        deals = self.stored("fct_sales_pipeline")
+        return land_once(deals.sparkSession, self.namespace, "fct_sales_pipeline", lambda: deals.withColumn(
+            "close_month", month_key("close_date")), ("close_month",))
+
+    def stored_months(self) -> DataFrame:
+        from revspark.plans.metrics import month_dimension
+        from revspark.sources.sinks import land_once
+        perf, deals = self.stored("fct_sales_performance"), self.stored("fct_sales_pipeline")
+        return land_once(perf.sparkSession, self.namespace, "dim_months", lambda: month_dimension(
+            perf.select("period_month"), deals.select(month_key("close_date"))))
+
     def stored_many(self, names: list[str]) -> dict[str, DataFrame]:
         """``stored`` for several models, written as concurrent jobs."""
         from revspark.sources.sinks import run_concurrently

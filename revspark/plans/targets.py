@@ -9,12 +9,14 @@ resolution. Random draws are replaced by explicit inputs or parameters.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revspark.functions import rules as R
 from revspark.functions.numeric import MONEY, round_half_up
+from revspark.operators.cumulative import dense_number
 from revspark.operators.lookup import left_lookup
 from revspark.operators.spine import month_spine
 
@@ -163,3 +165,23 @@ def ticket_resolution(tickets: DataFrame, resolved_status: str = "resolved") ->
     derived = F.when(resolved, F.date_add("created_date", F.floor(h / 24).cast("int")))
     return tickets.select("ticket_id", "account_name", "ticket_status", "resolution_hours",
                           derived.alias("derived_resolved_date"), band.alias("resolution_band"))
+
+
+# SCA-18. Prefix and width of the numbered ids.
+SURROGATES = {"activities": ("ACT-", 6), "nps_surveys": ("NPS-", 5), "support_tickets": ("TKT-", 6)}
+
+
+def surrogate_ids(activities: DataFrame, surveys: DataFrame, tickets: DataFrame) -> DataFrame:
+    """(table_name, source_id, surrogate_id): the records of the three generated tables numbered
+    densely from 1, by opportunity or account, date and source id."""
+    rows = {"activities": (activities, "opportunity_id", "activity_date", "activity_id"),
+            "nps_surveys": (surveys, "account", "survey_sent_date", "survey_id"),
+            "support_tickets": (tickets, "account", "created_date", "ticket_id")}
+    parts = []
+    for name, (df, parent, date, source_id) in rows.items():
+        prefix, width = SURROGATES[name]
+        order = [F.asc_nulls_last(c) for c in (parent, date, source_id)]
+        numbered = dense_number(df.select(parent, date, source_id), order, "_n")
+        parts.append(numbered.select(F.lit(name).alias("table_name"), F.col(source_id).alias("source_id"),
+                                     R.padded_id(prefix, "_n", width).alias("surrogate_id")))
+    return reduce(DataFrame.unionByName, parts)

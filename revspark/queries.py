@@ -19,7 +19,7 @@ from revspark.plans import intermediate as I
 from revspark.plans import metrics as DSH
 from revspark.plans import targets as TG
 from revspark.plans.project import INTERMEDIATE_MODELS, MART_MODELS, STAGING_MODELS, VIEW_MODELS, Project
-from revspark.plans.quality import dq_suite
+from revspark.plans.quality import dq_grain, dq_suite
 from revspark.session import scratch_path
 from revspark.sources.binding import parquet_source
 from revspark.sources.csv import ingest, load_report, read_raw
@@ -182,6 +182,8 @@ _MART_STEPS: dict[str, Callable[[Project], DataFrame]] = {
     "dq_unique": lambda p: Q.check_unique(p.raw("quotas"), "quota_id"),
     "dq_not_null": lambda p: Q.check_not_null(p.stg_sales_pipeline, "account_name"),
     "dq_suite": lambda p: dq_suite(p),
+    "dq_grain": lambda p: dq_grain(p),
+    "dq_unique_key": lambda p: Q.check_unique_key(p.raw("quotas"), ["sales_agent", "manager"]),
     # dashboard metrics
     "kpi_executive": lambda p: DSH.kpi_executive(p.stored("fct_sales_pipeline")),
     "revenue_by_product": lambda p: DSH.revenue_by_product(p.stored("fct_sales_pipeline")),
@@ -201,6 +203,12 @@ _MART_STEPS: dict[str, Callable[[Project], DataFrame]] = {
     "accounts_at_risk": lambda p: DSH.accounts_at_risk(p.stored("dim_accounts")),
     "rolling_attainment": lambda p: DSH.rolling_attainment(p.stored("fct_sales_performance")),
     "quota_leaderboard": lambda p: DSH.quota_leaderboard(p.stored("fct_sales_performance")),
+    "attainment_heatmap_team": lambda p: DSH.attainment_heatmap(p.stored("fct_sales_performance"),
+                                                                p.stored("dim_sales_teams")),
+    "attainment_matrix": lambda p: DSH.attainment_matrix(p.stored("fct_sales_performance")),
+    "drill_manager": lambda p: DSH.drill_manager(p.stored_performance(), p.stored("dim_sales_teams")),
+    "drill_region_quarter": lambda p: DSH.drill_region_quarter(p.stored_performance(), p.stored_months()),
+    "drill_series": lambda p: DSH.drill_series(p.stored_pipeline(), p.stored("dim_products"), p.stored_months()),
     "mart_filter": lambda p: DSH.mart_filter(p.stored("fct_sales_performance")),
     # quota and customer derivations
     "agent_baseline": lambda p: TG.agent_baseline(p.stg_sales_pipeline),
@@ -210,6 +218,7 @@ _MART_STEPS: dict[str, Callable[[Project], DataFrame]] = {
     "unit_costs": lambda p: TG.unit_costs(p.stg_products, p.source.cost_rates),
     "account_engagement": lambda p: TG.account_engagement(p.stg_accounts, p.stg_sales_pipeline),
     "nps_category": lambda p: TG.nps_category(p.stg_nps_surveys),
+    "surrogate_ids": lambda p: TG.surrogate_ids(p.raw("activities"), p.raw("nps_surveys"), p.raw("support_tickets")),
     "ticket_resolution": lambda p: TG.ticket_resolution(p.stg_support_tickets),
 }
 

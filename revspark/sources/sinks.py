@@ -15,7 +15,7 @@ import re
 import threading
 import uuid
 from collections import defaultdict
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -148,8 +148,8 @@ _REGISTRY_LOCK = threading.Lock()
 _RUN = uuid.uuid4().hex[:12]
 
 
-def land_once(spark: SparkSession, namespace: str, name: str,
-              build: Callable[[], DataFrame]) -> DataFrame:
+def land_once(spark: SparkSession, namespace: str, name: str, build: Callable[[], DataFrame],
+              partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``build()`` once per application under the shared checkpoint folder
     and return a reader of the written table.
 
@@ -157,7 +157,7 @@ def land_once(spark: SparkSession, namespace: str, name: str,
     are written concurrently. The written files, not the lineage, are what
     later queries read (and what a lost executor recomputes from).
     """
-    key = (spark.sparkContext.applicationId, namespace, name)
+    key = (spark.sparkContext.applicationId, namespace, "/".join([name, *partition_by]))
     with _REGISTRY_LOCK:
         lock = _LOCKS[key]
     with lock:
@@ -165,7 +165,7 @@ def land_once(spark: SparkSession, namespace: str, name: str,
             df = build()
             folder = hashlib.sha256("\0".join(key).encode()).hexdigest()[:24]
             path = scratch_path(spark, f"tables-{_RUN}/{folder}/{name}")
-            write_table(df, path)
+            write_table(df, path, list(partition_by))
             _LANDED[key] = (path, df.schema)
     path, schema = _LANDED[key]
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)

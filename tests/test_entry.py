@@ -58,7 +58,9 @@ def duck():
 PARITY_KEYS = ["int_sales_performance", "int_customer_health", "fct_sales_pipeline",
                "stg_quotas", "dq_suite", "profit_pareto", "rolling_attainment", "quota_targets",
                "kpi_executive", "revenue_by_region", "load_rejects", "load_missing_files",
-               "views_over_marts", "mart_refresh"]
+               "views_over_marts", "mart_refresh", "dq_grain", "dq_unique_key", "surrogate_ids",
+               "stage_mix", "quota_leaderboard", "attainment_heatmap_team", "attainment_matrix",
+               "drill_manager", "drill_region_quarter", "drill_series"]
 
 
 @pytest.mark.parametrize("key", PARITY_KEYS)

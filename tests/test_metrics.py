@@ -98,3 +98,16 @@ def test_heatmap_region_source(spark):
                for r in DSH.attainment_heatmap(perf(spark), teams).collect()}
     assert by_team[("north", "1998-01")] == (2, 150.0)
     assert by_team[(None, "1998-01")] == (1, 50.0)
+
+
+def test_rolling_windows_over_gaps(spark):
+    from revspark.plans.metrics import rolling_attainment
+    rows = [("a", "2020-01", 10.0, 5.0), ("a", "2020-02", 1.5, None), ("a", "2020-09", 2.0, 4.0), ("a", "9999-12", 7.0, 7.0),
+            ("a", "2020-1x", 3.0, 6.0), ("b", "2019-12", None, 1.0), (None, "2020-01", 1.0, 1.0), ("c", None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "agent_name string, period_month string, total_revenue_usd double, quota_amount_usd double")
+    got = {(r.agent_name, r.period_month): (r.revenue_3m_usd, r.quota_3m_usd) for r in rolling_attainment(df).collect()}
+    assert got["a", "2020-01"] == (10.0, 5.0) and got["a", "2020-02"] == got["a", "2020-03"] == (11.5, 5.0)
+    assert got["a", "2020-04"] == (1.5, 0.0) and got["a", "2020-05"] == got["a", "2020-08"] == (0.0, 0.0)
+    assert got["a", "2020-09"] == got["a", "2020-11"] == (2.0, 4.0) and got["a", "2020-12"] == (0.0, 0.0)
+    assert got["a", "2020-1x"] == (3.0, 6.0) and got["b", "2019-12"] == (0.0, 1.0)
+    assert got["a", "9999-12"] == (7.0, 7.0) and len(got) < 150      # the mistyped month fills no millennia

@@ -97,3 +97,47 @@ def test_rank_desc_matches_window_rank(spark):
     want = df.withColumn("r", F.rank().over(Window.partitionBy("m").orderBy(F.desc("v"))))
     assert got.columns == ["m", "a", "v", "r"]
     assert rows(got) == rows(want.select("m", "a", "v", F.col("r").cast("long")))
+
+
+def test_grain_over_several_columns(spark):
+    from revspark.operators.quality import check_unique_key, run_checks
+    schema = "agent string, month string, amount int"
+    good = [("a", "1", 1), ("a", "2", 1), ("b", "1", 1), ("a,1", "", 1), ("a", "1,", 1)]
+    keys = [("quotas", ("agent", "month")), ("quotas", "agent"), ("none", ("agent", "month"))]
+    none = spark.createDataFrame([], schema)
+
+    def fails(rows):
+        df = spark.createDataFrame(rows, schema)
+        return {(r.model, r.column_name, r.test): r.failures for r in run_checks({"quotas": df, "none": none}, keys).collect()}
+    first = fails(good)
+    assert first["quotas", "agent, month", "unique"] == 0 and first["quotas", "agent, month", "not_null"] == 0
+    assert first["quotas", "agent", "unique"] == 1 and first["none", "agent, month", "unique"] == 0 and len(first) == 6
+    doubled = fails(good + [("a", "2", 7), (None, "2", 1), (None, "2", 1), ("c", None, 1)])
+    assert doubled["quotas", "agent, month", "unique"] == 1 and doubled["quotas", "agent, month", "not_null"] == 3
+    df = spark.createDataFrame(good + [("a", "2", 7), (None, "2", 1), (None, "2", 1)], schema)
+    assert [tuple(r) for r in check_unique_key(df, ["agent", "month"]).collect()] == [("a", "2", 2)]
+
+
+def test_cumulative_share_against_a_sorted_list(spark):
+    import random
+    from decimal import Decimal
+    from revspark.operators.cumulative import cumulative_share
+    rng = random.Random(2)
+    amounts = [Decimal(rng.choice([0, 1, -1, rng.randrange(-9 ** 9, 9 ** 9), 10 ** 20, 5, 5])) / rng.choice([1, 10, 1000])
+               for _ in range(400)]
+    rows = [(f"p{i:03d}" if i else None, a) for i, a in enumerate(amounts)]
+    df = spark.createDataFrame(rows, "name string, v decimal(38,10)").repartition(5)
+    got = {r.name: (r.run, r.total) for r in cumulative_share(df, "v", "name", "run", "total").collect()}
+    run = Decimal(0)
+    for name, v in sorted(rows, key=lambda r: (-r[1], r[0] is None, r[0])):
+        run += v
+        assert got[name] == (run, sum(amounts))
+    assert cumulative_share(df.limit(0), "v", "name", "run", "total").count() == 0
+
+
+def test_dense_numbers(spark):
+    from pyspark.sql import functions as F
+    from revspark.operators.cumulative import dense_number
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
+    got = sorted((r.k, r.n) for r in dense_number(df, [F.col("k")], "n", ranges=7).collect())
+    assert got == [(i, i + 1) for i in range(1000)]

@@ -64,3 +64,53 @@ def test_customer_health_single_shuffle_for_signals(spark):
     # one exchange keyed on account for the union of surveys, tickets and deals,
     # one for the latest-survey aggregate, one for the account table
     assert len(re.findall(r"Exchange hashpartitioning\(account_name#\d+, \d+\)", p)) == 3
+
+
+def shuffles(p):
+    return sum(1 for line in p.splitlines() if "Exchange " in line
+               and "ReusedExchange" not in line and "BroadcastExchange" not in line)
+
+
+@pytest.mark.parametrize("key,most", [("dq_suite", 4), ("profit_pareto", 4), ("quota_leaderboard", 4), ("stage_mix", 2),
+                                      ("rolling_attainment", 2)])
+def test_few_exchanges(spark, key, most):
+    with no_broadcast(spark):
+        p = plan(spark, key)
+    assert shuffles(p) <= most, p
+
+
+def test_no_job_while_a_metric_is_built(spark):
+    keys = ("profit_pareto", "quota_leaderboard", "rolling_attainment", "stage_mix", "attainment_matrix")
+    for key in keys:        # their stored marts are there from here on
+        E.queries()[key](spark, SF0001)
+    group = "build-only"
+    spark.sparkContext.setJobGroup(group, group)
+    for key in keys:
+        E.queries()[key](spark, SF0001).explain()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+
+
+def test_the_deal_fact_is_read_once(spark):
+    for key in ("profit_pareto", "stage_mix"):
+        with no_broadcast(spark):
+            p = plan(spark, key)
+        scans = p.count("FileScan parquet")
+        assert scans == 1 or scans - p.count("ReusedExchange") - p.count("Subquery") <= 1, p
+
+
+@pytest.mark.parametrize("key,column", [("drill_manager", "regional_office"), ("drill_region_quarter", "period_month"),
+                                        ("drill_series", "close_month")])
+def test_dimensions_prune_directories_at_run_time(spark, key, column):
+    p = plan(spark, key)
+    scan = p[:p.index("SubqueryAdaptiveBroadcast dynamicpruning")].splitlines()[-2]
+    assert re.search(rf"PartitionFilters: \[[^\]]*{column}", scan), p
+    if key == "drill_region_quarter":
+        assert re.search(r"PartitionFilters: \[[^\]]*regional_office#\d+ = EUROPE", scan), p
+
+
+def test_numbering_sorts_no_data_in_one_task(spark):
+    p = plan(spark, "surrogate_ids")
+    single = re.findall(r"Exchange SinglePartition.*\n.*", p)
+    assert all("_range" in s or "_range_total" in s for s in single), single
