@@ -402,3 +402,5 @@ SELECTS["drill_series"] = """
 select f.*, strftime(f.close_date, '%Y-%m') as close_month from fct_sales_pipeline f
 where year(f.close_date) = 1997
   and f.product_name in (select product_name from dim_products where product_series = 'Brand#11')"""
+
+SELECTS["int_sales_performance_salted"] = "select * from int_sales_performance"

@@ -18,7 +18,7 @@ import sys
 from pyspark.sql import DataFrame
 
 from revspark.plans.project import MART_MODELS, Project
-from revspark.session import get_spark
+from revspark.session import get_spark, sizing
 from revspark.sources.sinks import current
 
 
@@ -38,6 +38,17 @@ class BuiltProject(Project):
         return super().stored(name)
 
 
+def size_shuffles(spark, folder: str) -> None:
+    """Shuffle partitions for the size of ``folder``, unless the submit has set them."""
+    if spark.sparkContext.getConf().get("spark.sql.shuffle.partitions", None):
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+    for key, value in sizing(size, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="revspark")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -57,6 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     spark = get_spark()
+    size_shuffles(spark, args.landing if args.cmd == "load" else args.warehouse)
     if args.cmd == "load":
         from revspark.sources.csv import ingest
         ingest(spark, args.landing, args.warehouse).show(truncate=False)

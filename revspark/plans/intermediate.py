@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from revspark.functions.numeric import money_sum
 from revspark.functions import rules as R
+from revspark.operators.fanout import full_join_salted
 from revspark.operators.lookup import left_lookup
 from revspark.operators.topn import top1_desc
 
@@ -84,7 +85,7 @@ def _keyed(df: DataFrame, agent: str, month, tag: str) -> DataFrame:
 
 
 def int_sales_performance(deals: DataFrame, quotas: DataFrame, activities: DataFrame,
-                          positive: str = R.POSITIVE_OUTCOME) -> DataFrame:
+                          positive: str = R.POSITIVE_OUTCOME, quota_salts: int = 0) -> DataFrame:
     """Revenue FULL JOIN quotas FULL JOIN effort on (agent, month) (JN-03, JN-04).
 
     Revenue and effort both aggregate raw rows to (agent, month), so instead of
@@ -94,6 +95,9 @@ def int_sales_performance(deals: DataFrame, quotas: DataFrame, activities: DataF
     at most one row per key, each quota row keeps its own output row (several
     quotas per key fan out exactly as in the join), and NULL-keyed rows stay in
     per-input groups that match nothing.
+
+    With ``quota_salts`` the quotas of one (agent, month) are spread over so many
+    tasks, for inputs where a key may hold very many of them.
     """
     null_l, null_d, null_s = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
     rev = _keyed(won_deals(deals), "agent_name", R.month_key("close_date"), "r").select(
@@ -120,7 +124,8 @@ def int_sales_performance(deals: DataFrame, quotas: DataFrame, activities: DataF
         F.col("_nullkey").alias("_q_nullkey"),
         "manager_name", "regional_office", "quota_amount_usd")
     # NULL agents or months never match (as in the join chain); keyed rows meet on tag ''
-    j = re.join(q, (re._agent == q._q_agent) & (re._month == q._q_month)
+    pairs = [("_agent", "_q_agent"), ("_month", "_q_month"), ("_nullkey", "_q_nullkey")]
+    j = full_join_salted(re, q, pairs, quota_salts) if quota_salts else re.join(q, (re._agent == q._q_agent) & (re._month == q._q_month)
                 & (re._nullkey == q._q_nullkey), "full")
     zero = F.lit(0)
     return j.select(

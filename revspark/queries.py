@@ -171,6 +171,8 @@ for _n in STAGING_MODELS + INTERMEDIATE_MODELS:
 _STEPS: dict[str, Callable[[Project], DataFrame]] = {
     "agent_revenue": lambda p: I.agent_revenue(p.int_deal_economics),
     "agent_effort": lambda p: I.agent_effort(p.stg_activities),
+    "int_sales_performance_salted": lambda p: I.int_sales_performance(
+        p.int_deal_economics, p.stg_quotas, p.stg_activities, quota_salts=8),
     "nps_summary": lambda p: I.nps_summary(p.stg_nps_surveys),
     "latest_nps": lambda p: I.latest_nps(p.stg_nps_surveys),
     "ticket_summary": lambda p: I.ticket_summary(p.stg_support_tickets),

@@ -55,7 +55,7 @@ def duck():
     return con
 
 
-PARITY_KEYS = ["int_sales_performance", "int_customer_health", "fct_sales_pipeline",
+PARITY_KEYS = ["int_sales_performance", "int_sales_performance_salted", "int_customer_health", "fct_sales_pipeline",
                "stg_quotas", "dq_suite", "profit_pareto", "rolling_attainment", "quota_targets",
                "kpi_executive", "revenue_by_region", "load_rejects", "load_missing_files",
                "views_over_marts", "mart_refresh", "dq_grain", "dq_unique_key", "surrogate_ids",

@@ -141,3 +141,36 @@ def test_dense_numbers(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     got = sorted((r.k, r.n) for r in dense_number(df, [F.col("k")], "n", ranges=7).collect())
     assert got == [(i, i + 1) for i in range(1000)]
+
+
+def test_salted_full_join(spark):
+    from pyspark.sql import functions as F
+    from revspark.operators.fanout import full_join_salted
+    one = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "k string, v int")
+    many = spark.createDataFrame([("a", "x")] * 40 + [("b", "y"), ("d", "z"), (None, "n")], "m string, w string")
+    want = sorted(map(tuple, one.join(many, F.col("k") == F.col("m"), "full").collect()), key=str)
+    assert sorted(map(tuple, full_join_salted(one, many, [("k", "m")], 5).collect()), key=str) == want
+    # a hot key's rows part, equal ones too: the largest of 8 tasks holds far from all of them
+    hot = spark.range(40000).select(F.lit("a").alias("m"), F.lit("same").alias("w"))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "64"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        sizes = [r.n for r in full_join_salted(one, hot, [("k", "m")], 16).groupBy(
+            F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 40003 and max(sizes) < 12000
+
+
+def test_amounts_that_cannot_be_told_end_no_run(spark):
+    from revspark.functions.numeric import money_sum
+    from revspark.functions.rules import net_profit
+    df = spark.createDataFrame([("Won", 10.0, 150.0), ("Won", 3e18, 0.1), ("Won", 100.0, 0.1)], "s string, v double, r double")
+    from pyspark.sql import functions as F
+    got = [r[0] for r in df.select(net_profit("s", "v", F.lit(0.0), F.lit(0.0), F.lit(0.0), "r")).collect()]
+    assert got == [None, None, 90.0]
+    assert df.agg(money_sum("v")).first()[0] == 3e18 + 110.0
