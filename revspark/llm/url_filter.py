@@ -8,7 +8,8 @@ group passes its decisions on to members without a rule. An explicit allow comes
 before a block: where a group holds both, its undecided members are allowed. Urls
 without rule or decided alias are allowed.
 
-Nulls: a null or relative url has an empty host and path, fits no rule and is
+Patterns hold no group that repeats, so urls and pages of any length are matched in a
+constant stack. Nulls: a null or relative url has an empty host and path, fits no rule and is
 allowed; null html declares nothing. Pages that repeat an url are judged alike.
 Extra columns are ignored.
 """
@@ -37,13 +38,13 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end; A-Z in lower case."""
-    rest = F.regexp_extract(url, r"(?s)^(?:(?!://).)*://([^/?#]*)", 1)
+    rest = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
     return F.coalesce(F.translate(rest, _UPPER, _LOWER), F.lit(""))
 
 
 def path_of(url: Column) -> Column:
     """After the host up to ``?``, ``#`` or the end."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^(?:(?!://).)*://[^/?#]*([^?#]*)", 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
 def decided(host: Column, path: Column, rules=RULES) -> Column:
@@ -74,8 +75,8 @@ def _tags(html: Column, name: str) -> Column:
 
 def absolute(target: Column, page: Column) -> Column:
     """``target`` as an absolute url without fragment, as seen from the url ``page``."""
-    scheme = F.regexp_extract(page, r"(?s)^((?:(?!://).)*)://", 1)
-    root = F.concat(scheme, F.lit("://"), F.regexp_extract(page, r"(?s)^(?:(?!://).)*://([^/?#]*)", 1))
+    scheme = F.regexp_extract(page, r"(?s)^(.*?)://", 1)
+    root = F.concat(scheme, F.lit("://"), F.regexp_extract(page, r"(?s)^.*?://([^/?#]*)", 1))
     folder = F.regexp_extract(path_of(page), r"(?s)^(.*/)", 1)
     out = (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
            .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
@@ -132,3 +133,71 @@ def judge(pages: DataFrame, rules=RULES, default: str = DEFAULT_VERDICT) -> Data
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
+
+
+def _oracle() -> str:
+    """DuckDB SQL of ``op5_url_filter``: the rules as a table, alias groups by a recursive query."""
+    def host(u: str) -> str:
+        return (f"coalesce(translate(regexp_extract({u}, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '')")
+
+    def path(u: str) -> str:
+        return f"coalesce(regexp_extract({u}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+
+    def node(u: str) -> str:
+        return f"{host(u)} || {path(u)} || coalesce(regexp_extract({u}, '(?s)^[^#?]*(\\?[^#]*)', 1), '')"
+
+    def attribute(name: str) -> str:
+        value = f"""regexp_extract(tag, '(?is)\\b{name}\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s>]+)', 1)"""
+        return f"""trim(regexp_replace({value}, '^["'']|["'']$', '', 'g'))"""
+
+    scheme = "regexp_extract(url, '(?s)^(.*?)://', 1)"
+    root = f"{scheme} || '://' || regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)"
+    folder = f"coalesce(nullif(regexp_extract({path('url')}, '(?s)^(.*/)', 1), ''), '/')"
+    rules = ", ".join(f"('{v}', '{s}', '{p}')" for v, s, p in RULES)
+    return f"""
+WITH RECURSIVE rules(verdict, suffix, prefix) AS (VALUES {rules}),
+tags AS (
+    SELECT url, 'link' AS kind, unnest(regexp_extract_all(html, '(?is)<link\\b[^>]*>')) AS tag FROM pages WHERE contains(url, '://')
+    UNION ALL
+    SELECT url, 'meta', unnest(regexp_extract_all(html, '(?is)<meta\\b[^>]*>')) FROM pages WHERE contains(url, '://')
+), targets AS (
+    SELECT url, CASE WHEN kind = 'link' THEN {attribute('href')} ELSE regexp_replace(
+        regexp_extract({attribute('content')}, '(?is)url\\s*=\\s*(.*)$', 1), '^[''"\\s]+|[''"\\s]+$', '', 'g') END AS target
+    FROM tags
+    WHERE CASE WHEN kind = 'link' THEN regexp_matches(lower({attribute('rel')}), '(^|\\s)canonical(\\s|$)')
+               ELSE lower({attribute('http-equiv')}) = 'refresh' END
+), whole AS (
+    SELECT url, regexp_replace(CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+        WHEN starts_with(target, '//') THEN {scheme} || ':' || target
+        WHEN starts_with(target, '/') THEN {root} || target
+        WHEN starts_with(target, '?') THEN {root} || {path('url')} || target
+        ELSE {root} || {folder} || target END, '(?s)#.*$', '') AS target
+    FROM targets WHERE target <> ''
+), links AS (
+    SELECT {node('url')} AS a, {node('target')} AS b FROM whole
+), edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links UNION SELECT a, a FROM links UNION SELECT b, b FROM links),
+reached(node, other) AS (
+    SELECT a, b FROM edges UNION SELECT r.node, e.b FROM reached r JOIN edges e ON e.a = r.other
+), places AS (
+    SELECT DISTINCT 'x://' || other AS place, other FROM reached
+), passed AS (
+    SELECT r.node, min(best.verdict) AS verdict
+    FROM reached r JOIN (
+        SELECT other, max({{'size': length(suffix) + length(prefix), 'rule': suffix || prefix, 'verdict': verdict}}) AS best
+        FROM places JOIN rules ON ({host('place')} = suffix OR ends_with({host('place')}, '.' || suffix))
+                              AND starts_with({path('place')}, prefix)
+        GROUP BY other) d ON d.other = r.other
+    GROUP BY r.node
+), judged AS (
+    SELECT page_id, {host('url')} AS host, {path('url')} AS path, {node('url')} AS node, row_number() OVER () AS k FROM pages
+), fits AS (
+    SELECT k, max({{'size': length(suffix) + length(prefix), 'rule': suffix || prefix, 'verdict': rules.verdict}}) AS best
+    FROM judged JOIN rules ON (host = suffix OR ends_with(host, '.' || suffix)) AND starts_with(path, prefix) GROUP BY k
+)
+SELECT page_id, host, path, fits.best.rule AS rule,
+       coalesce(fits.best.verdict, passed.verdict, '{DEFAULT_VERDICT}') AS verdict
+FROM judged LEFT JOIN fits ON fits.k = judged.k LEFT JOIN passed ON passed.node = judged.node
+"""
+
+
+ORACLE_SQL = _oracle()
