@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revspark.llm import chat, collocations, url_filter
+from revspark.llm import chat, collocations, substring, url_filter
 from revspark.llm.bpe import op3_byte_bpe
 from revspark.llm.decontaminate import op7_decontaminate
 from revspark.llm.jaccard import op9_ngram_jaccard
@@ -15,7 +15,6 @@ from revspark.llm.licenses import op6_license_scan
 from revspark.llm.neighbours import op4_neighbours
 from revspark.llm.periodic import op12_periodic_runs
 from revspark.llm.quality import op2_quality
-from revspark.llm.substring import op8_substring_dedup
 from revspark.llm.suffixes import op13_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -26,7 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filter": url_filter.op5_url_filter,
     "op6_license_scan": op6_license_scan,
     "op7_decontaminate": op7_decontaminate,
-    "op8_substring_dedup": op8_substring_dedup,
+    "op8_substring_dedup": substring.op8_substring_dedup,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
     "op11_collocations": collocations.op11_collocations,
@@ -37,5 +36,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_preference_format": chat.ORACLE_SQL,
     "op5_url_filter": url_filter.ORACLE_SQL,
+    "op8_substring_dedup": substring.ORACLE_SQL,
     "op11_collocations": collocations.ORACLE_SQL,
 }
