@@ -44,6 +44,13 @@ def quoted(name: str):
     return F.col(f"`{name.replace('`', '``')}`")
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named c0, c1, ..., and which name became which: columns that an
+    operator adds clash with none, and names with dots or backticks need no care."""
+    inner = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*inner), dict(zip(docs.columns, inner))
+
+
 def fold(id_col, modulus: int):
     """crc32 of the id as text, modulo ``modulus`` (null ids: null)."""
     return F.crc32(id_col.cast("string").cast("binary")) % modulus

@@ -11,10 +11,15 @@ document and the other way round. So an item is found again with other numbers a
 names, but not where the same template is filled in differently each time. A name at
 the item's very end may run on in the document.
 
-Defined cases: null or empty texts and items match nothing; items under
-MIN_TOKENS tokens, and windows with under MIN_LITERAL literal tokens, are too
-unspecific to match; repeated rows match alike; a result row names the doc_id and
-the item_id, either may be null. Extra columns are ignored.
+Templates of few literal tokens would fit too much, and a short item is a single window
+that one changed placeholder spoils. Items whose windows all have under MIN_LITERAL
+literals, and those of at most WINDOW template tokens, are therefore looked for word by
+word as well: all their raw tokens (numbers and names as they are, case aside) in a row.
+
+Letters of scripts written without spaces are tokens one by one. Defined cases: null or
+empty texts and items match nothing, nor do items under MIN_RAW raw tokens; repeated rows
+match alike; a result row names the doc_id and the item_id, either may be null. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,12 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revspark.llm.common import U64, mixed, sequence_hashes, slices, stored, table, use
+from revspark.llm.common import U64, mixed, numbered, sequence_hashes, slices, stored, table, use
 
 
 WINDOW = 13
 MIN_TOKENS = 5
 MIN_LITERAL = 5
+MIN_RAW = 3
+#: Raw tokens that are hashed together; a longer item is as many windows as it takes.
+RAW = 8
 #: Up to so many benchmark windows their hashes go to every task (8 bytes each), so that
 #: only matching windows leave the scan; beyond, all windows are shuffled to the join.
 BROADCAST_WINDOWS = 1_000_000
@@ -48,7 +56,12 @@ UNITS = frozenset((
     "celsius fahrenheit usd eur gbp dollar dollars euro euros cent cents mph kmh hz khz mhz ghz "
     "w kw v a j kj cal kcal pa kpa bar").split())
 
-_TOKEN = re.compile(r"\d+(?:[.,:]\d+)*|[^\W\d_]+|[.!?\n]")
+#: Letters of scripts written without spaces (fixed values): Thai, Lao, Myanmar, Khmer, kana, Han.
+_SINGLE = "\u0e01-\u0e7f\u0e80-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+_TOKEN = re.compile(rf"\d+(?:[.,:]\d+)*|[^\W\d_{_SINGLE}]+|[{_SINGLE}]|[.!?\n\u3002\uff01\uff1f]")
+_ENDS = frozenset(".!?\n\u3002\uff01\uff1f")
+#: How the text of a raw window begins.
+_VERBATIM = "= "
 _NUMBER, _CAPITAL, _END, _UNIT = 1, 2, 4, 8
 _LOW = U64(15)
 #: How the slot of a name at the very end of its text begins.
@@ -62,7 +75,7 @@ class _Tokens(dict):
 
     def __missing__(self, token: str) -> int:
         flags, low = 0, token.lower()
-        if token in ".!?\n":
+        if token in _ENDS:
             flags = _END
         elif token[0].isdigit():
             flags = _NUMBER
@@ -85,6 +98,7 @@ class Template:
         self.raw = _TOKEN.findall(text or "")
         use(_CACHE)
         h = np.fromiter(map(_CACHE.__getitem__, self.raw), dtype=U64, count=len(self.raw))
+        self.known = h
         kind, kept = np.zeros(len(h), dtype=np.uint8), np.ones(len(h), dtype=bool)
         marked = np.flatnonzero(h & _LOW)  # the few tokens that may be slots or end a sentence
         if len(marked):
@@ -110,6 +124,11 @@ class Template:
         """Hashes of the windows of ``n`` tokens."""
         return mixed(sequence_hashes(self.hash, n, _BASE))
 
+    def verbatim(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and places of the raw tokens, ends of sentences left out."""
+        at = np.flatnonzero((self.known & _LOW) != _END)
+        return self.known[at] >> U64(4), at
+
     def specific(self, starts: np.ndarray, n: int) -> np.ndarray:
         """Those of the windows that have enough literal tokens."""
         if not self.slots or not len(starts):
@@ -122,7 +141,7 @@ class Template:
         first, end = self.at[i], self.at[i] + 1
         if self.kind[i] == _CAPITAL:
             stop = self.at[i + 1] if i + 1 < len(self.at) else len(self.raw)
-            while end < stop and self.raw[end] not in ".!?\n":
+            while end < stop and self.raw[end] not in _ENDS:
                 end += 1
         return " ".join(self.raw[first:end])
 
@@ -150,31 +169,60 @@ _ARROW = pa.list_(pa.struct([("pos", pa.int32()), ("hash", pa.int64()), ("templa
                              ("slots", pa.list_(pa.string()))]))
 
 
-def _windowed(texts: DataFrame, lengths, wanted=None) -> DataFrame:
+class _Wanted:
+    """Sorted hashes, with a table of their first bits that settles most questions."""
+
+    BITS = U64(64 - 22)
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.table = np.zeros(1 << 22, dtype=bool)
+        self.table[hashes >> self.BITS] = True
+
+    def among(self, values: np.ndarray) -> np.ndarray:
+        """Places of the values that are among the hashes."""
+        at = np.flatnonzero(self.table[values >> self.BITS])
+        if not len(at):
+            return at
+        near = np.minimum(np.searchsorted(self.hashes, values[at]), len(self.hashes) - 1)
+        return at[self.hashes[near] == values[at]]
+
+
+def _raw_windows(template: Template, lengths, wanted: _Wanted | None) -> Iterator[dict]:
+    """Windows of the raw tokens of the given lengths, as their text."""
+    hashes, at = template.verbatim()
+    for n in lengths:
+        values = mixed(sequence_hashes(hashes, n, _BASE) ^ _NUMBER_H)
+        starts = np.arange(len(values)) if wanted is None else wanted.among(values)
+        for i in starts.tolist():
+            words = [template.raw[k].lower() for k in at[i:i + n].tolist()]
+            yield {"pos": i, "hash": int(values[i].astype(np.int64)), "template": _VERBATIM + " ".join(words), "slots": []}
+
+
+def _windowed(texts: DataFrame, lengths, raw_lengths, wanted=None) -> DataFrame:
     """``texts`` (its last column the text) with the text replaced by its windows.
 
-    ``lengths(number of tokens)`` gives the window lengths of a text; with ``wanted``
-    (a broadcast sorted array of hashes) only windows among these are given.
+    ``lengths(number of tokens)`` gives the window lengths of a text and ``raw_lengths(
+    template, windows found)`` those over its raw tokens; with ``wanted`` (a broadcast sorted
+    array of hashes) only windows among these are given.
     """
     names = texts.columns[:-1]
     schema = T.StructType([texts.schema[c] for c in names] + [T.StructField("windows", _FOUND)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sought = None if wanted is None else _Wanted(wanted.value)
         for batch in slices(batches, 1024):
             out = []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 template, found = Template(text), []
                 for n in lengths(len(template.at)):
                     hashes = template.windows(n)
-                    starts = np.arange(len(hashes))
-                    if wanted is not None and len(hashes):
-                        sought = wanted.value
-                        near = np.minimum(np.searchsorted(sought, hashes), len(sought) - 1)
-                        starts = np.flatnonzero(sought[near] == hashes)
+                    starts = np.arange(len(hashes)) if sought is None else sought.among(hashes)
                     for i in template.specific(starts, n).tolist():
                         name, slots = template.described(i, n)
                         found.append({"pos": i, "hash": int(hashes[i].astype(np.int64)),
                                       "template": name, "slots": slots})
+                found += _raw_windows(template, raw_lengths(template, len(found)), sought)
                 out.append(found)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(names))), pa.array(out, _ARROW)],
@@ -187,19 +235,31 @@ def _item_lengths(n: int) -> list[int]:
     return [WINDOW] if n >= WINDOW else [n] if n >= MIN_TOKENS else []
 
 
+def _item_raw_lengths(template: Template, windows: int) -> list[int]:
+    n = len(template.verbatim()[0])
+    if n < MIN_RAW or (windows and len(template.at) > WINDOW):
+        return []
+    return [min(n, RAW)]
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(key, item_id, n_windows, share) of each text that holds a benchmark item.
 
     ``docs`` has a column ``key`` and a column ``text``; texts of equal key are taken
     for the same. share: of the item's windows, how many the best alignment has.
     """
-    items = stored(_windowed(benchmark.select("item_id", "text"), _item_lengths)
-                   .select("item_id", F.size("windows").alias("n_item"), F.explode("windows").alias("w"))
-                   .select("item_id", "n_item", F.col("w.pos").alias("item_pos"), "w.hash", "w.template",
+    verbatim = F.startswith("w.template", F.lit(_VERBATIM))
+    every = (_windowed(benchmark.select("item_id", "text"), _item_lengths, _item_raw_lengths)
+             .withColumn("n_raw", F.size(F.filter("windows", lambda w: F.startswith(w["template"], F.lit(_VERBATIM)))))
+             .select("item_id", "n_raw", F.size("windows").alias("n"), F.explode("windows").alias("w")))
+    items = stored(every.select("item_id", F.when(verbatim, F.col("n_raw")).otherwise(F.col("n") - F.col("n_raw")).alias("n_item"),
+                                verbatim.alias("verbatim"), "w")
+                   .select("item_id", "n_item", "verbatim", F.col("w.pos").alias("item_pos"), "w.hash", "w.template",
                            F.col("w.slots").alias("item_slots")), "benchmark-windows")
-    short = [r[0] for r in items.select((F.size(F.split("template", " "))).alias("n"))
-             .distinct().where(F.col("n") < WINDOW).collect()]  # under WINDOW values
-    lengths = [WINDOW, *short]
+    # at most WINDOW + RAW values
+    sizes = items.select("verbatim", F.size(F.split("template", " ")).alias("n")).distinct().collect()
+    lengths = [WINDOW, *(r.n for r in sizes if not r.verbatim and r.n < WINDOW)]
+    raw = [r.n - 1 for r in sizes if r.verbatim]      # a raw window's text has its mark in front
     few = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     wanted = None
     if few:
@@ -207,10 +267,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if not len(hashes):
             hashes = np.zeros(1, dtype=np.int64)
         wanted = docs.sparkSession.sparkContext.broadcast(np.sort(hashes.view(U64)))
-    found = (_windowed(docs.select("key", "text"), lambda n: [k for k in lengths if k <= n], wanted)
+    found = (_windowed(docs.select("key", "text"), lambda n: [k for k in lengths if k <= n],
+                       lambda template, found: raw, wanted)
              .select("key", F.explode("windows").alias("w")).select("key", "w.*"))
     met = found.join(F.broadcast(items) if few else items, ["hash", "template"])
-    judged = (met.groupBy("key", "item_id", "n_item", (F.col("pos") - F.col("item_pos")).alias("shift"))
+    # word by word: all of the item's raw windows, one after the other
+    copied = (met.where("verbatim").groupBy("key", "item_id", "n_item", (F.col("pos") - F.col("item_pos")).alias("shift"))
+              .agg(F.count_distinct("item_pos").alias("n")).where(F.col("n") == F.col("n_item"))
+              .select("key", "item_id", F.col("n").alias("n_windows"), F.lit(1.0).alias("share")))
+    judged = (met.where("not verbatim").groupBy("key", "item_id", "n_item", (F.col("pos") - F.col("item_pos")).alias("shift"))
               .agg(F.collect_set(F.struct("item_pos", "item_slots", "slots")).alias("windows")))
     schema = T.StructType([*judged.schema.fields[:-1], T.StructField("n_windows", T.LongType())])
 
@@ -219,9 +284,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             n = [counted(w) for w in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], names=schema.names)
 
-    return (judged.mapInArrow(count, schema).where("n_windows > 0").groupBy("key", "item_id")
-            .agg(F.max("n_windows").alias("n_windows"),
-                 F.max(F.col("n_windows") / F.col("n_item")).alias("share")))
+    aligned = judged.mapInArrow(count, schema).where("n_windows > 0").select(
+        "key", "item_id", "n_windows", (F.col("n_windows") / F.col("n_item")).alias("share"))
+    return (aligned.unionByName(copied).groupBy("key", "item_id")
+            .agg(F.max("n_windows").alias("n_windows"), F.max("share").alias("share")))
 
 
 def _closed(slot: str) -> str:
@@ -276,9 +342,10 @@ def text_key(text):
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item, columns as they are."""
     found = stored(leaks(docs.select(text_key("text").alias("key"), "text"), benchmark)
-                   .select(F.col("key").alias("__leak")).distinct(), "leaks")
-    keyed = docs.withColumn("__key", text_key("text"))
-    return keyed.join(found, keyed["__key"] == found["__leak"], "left_anti").select(*docs.columns)
+                   .select("key").distinct(), "leaks")
+    plain, at = numbered(docs)
+    keyed = plain.withColumn("key", text_key(at["text"]))
+    return keyed.join(found, "key", "left_anti").select(*at.values()).toDF(*docs.columns)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

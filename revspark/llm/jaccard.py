@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revspark.llm.common import U64, WORD, WordHash, mixed, sequence_hashes, slices, stored, table, use
+from revspark.llm.common import U64, WORD, WordHash, mixed, numbered, sequence_hashes, slices, stored, table, use
 from revspark.llm.components import components
 
 N_WORDS = 5
@@ -261,11 +261,13 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     _, links = classes(docs, threshold)
     kept = links.where(F.col("key") == F.col("group_key")).select(
-        F.col("key").alias("__k"), F.coalesce(F.col("first_id").cast("string"), F.lit("")).alias("__i"))
-    keyed = docs.withColumns({"__key": text_key(), "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit(""))})
-    chosen = (keyed.where("__key is not null").join(kept, (F.col("__key") == F.col("__k")) & (F.col("__id") == F.col("__i")))
-              .dropDuplicates(["__key", "__id"]))
-    return chosen.select(*docs.columns).unionByName(docs.where(F.col("text").isNull()))
+        "key", F.coalesce(F.col("first_id").cast("string"), F.lit("")).alias("id"))
+    plain, at = numbered(docs)
+    keyed = plain.withColumns({"key": text_key(at["text"]),
+                               "id": F.coalesce(F.col(at["doc_id"]).cast("string"), F.lit(""))})
+    chosen = keyed.where("key is not null").join(kept, ["key", "id"]).dropDuplicates(["key", "id"])
+    none = plain.where(F.col(at["text"]).isNull())
+    return chosen.select(*at.values()).unionByName(none).toDF(*docs.columns)
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revspark.llm.common import fold, slices, table, use
+from revspark.llm.common import fold, numbered, slices, table, use
 
 BUCKETS = 1 << 14
 DIMS = 32
@@ -222,8 +222,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     """Word vectors from all of ``docs`` (doc_id, text), the network from ``labels``
     (doc_id, quality) outside the held-out fold."""
     vectors = word_vectors(docs)
+    # only labels whose document is there count towards the bound
+    there = docs.where(F.col("text").isNotNull()).select("doc_id")
     known = (labels.where(F.col("quality").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD))
-             .groupBy("doc_id").agg(F.min("quality").alias("_quality"))
+             .join(there, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))  # the documented bound
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
@@ -264,8 +266,9 @@ def scored(docs: DataFrame, classifier: Classifier, name: str = "score", text: s
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, columns as they are."""
-    return (scored(docs, fit(docs, labels), "__quality")
-            .where(F.col("__quality") >= ACCEPT).select(*docs.columns))
+    plain, at = numbered(docs)
+    return (scored(plain, fit(docs, labels), "score", at["text"])
+            .where(F.col("score") >= ACCEPT).select(*at.values()).toDF(*docs.columns))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
