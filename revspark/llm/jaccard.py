@@ -210,8 +210,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
     bands = texts.select("key", F.posexplode("bands").alias("band", "bucket"))
     shared = (bands.groupBy("band", "bucket").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").drop("n"))
-    near = bands.join(shared, ["band", "bucket"]).where("key <> least").select("key", "least").distinct()
-    candidates = components(near, "key", "least", "candidates")
+    near = bands.join(shared, ["band", "bucket"]).where("key <> least").groupBy("key").agg(
+        F.min("least").alias("root"), F.collect_set("least").alias("leasts"))     # one for each band at most
+    # a class meets its smallest bucket head, its other heads do so too: what was connected stays
+    # so, and a class of a large group brings one link instead of one for each band
+    hooks = near.select("key", "root").union(
+        near.select(F.explode("leasts").alias("key"), "root").where("key <> root")).distinct()
+    candidates = components(hooks, "key", "root", "candidates")
     size = candidates.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
     # the text of one row of each candidate class: its id is in the key, so copies spread
     wanted = candidates.join(texts.select("key", "first_id"), candidates.node == texts.key).select(
