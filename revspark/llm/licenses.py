@@ -1,16 +1,20 @@
 """Operator 6: license scans with inheritance from the nearest ancestor directory.
 
-Every line of a file, its whole text included, is compared with license notices
-by the cosine of sparse TF-IDF vectors. Document frequencies of the notices' terms
-are counted over all files; a term outside the notices counts as the rarest one.
+Every run of consecutive terms of a file that is as long as a template (a licence text,
+a standard header, a one-line notice, an SPDX tag) is compared with it by the cosine of
+sparse TF-IDF vectors, and so is the whole text; line breaks and comment marks are no
+terms, so wrapped and commented headers are found, also amid other text. Document
+frequencies of the templates' terms are counted over all files; a term outside the
+templates counts as the rarest one. Short templates differ in single terms: there a
+window must also hold each term of the licence's id that the template has.
 A file without a notice of its own takes the license of the licence file in its own
 or the nearest ancestor directory, by joins on directory paths. A licence file is
 named as such (LICENSE, COPYING, NOTICE, with any ending), or is in its whole text
-close to a notice.
+close to a template.
 
 Defined cases: null and empty texts have no notice of their own but inherit; a null
-path has no directory and inherits nothing; of several notices the closest counts
-(ties: the first name in text order), of several licence files in a directory the
+path has no directory and inherits nothing; of several templates the closest counts
+(ties: the longest, then the first name in text order), of several licence files in a directory the
 closest, then the first path. Repeated rows are scanned alike. Extra columns are
 ignored.
 """
@@ -22,39 +26,19 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revspark.llm.common import slices, stored, table
+from revspark.llm.license_texts import TEMPLATES
 
 SIMILARITY = 0.8
 
-#: Notices by SPDX id, fixed values.
-NOTICES = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this '
-                   "file except in compliance with the License."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "This project is licensed under the terms of the MIT license."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of "
-                "the GNU General Public License, either version 3 of the License, or any later version."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("ISC", "Released under the ISC License."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-    ("CC0-1.0", "Licensed under CC0 1.0 Universal."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
-]
+#: Templates of at most this many terms are told apart by single terms: a window must hold
+#: those that name the licence (see ``Notices``).
+SHORT = 24
 
 _TERM = re.compile(r"\w+")
 
@@ -64,50 +48,93 @@ def _terms(text: str) -> list[str]:
 
 
 class Notices:
-    """TF-IDF vectors of the notices, from the document frequencies of their terms."""
+    """TF-IDF vectors of the templates, from the document frequencies of their terms.
+
+    The terms that name a licence are those of its id (name and version) that the template has.
+    """
 
     def __init__(self, notices, frequency: dict[str, int], files: int):
-        self.vocabulary = {t for _, text in notices for t in _terms(text)}
+        terms = [(name, _terms(text)) for name, text in notices]
+        self.index = {t: k for k, t in enumerate(sorted({t for _, own in terms for t in own}))}
         self.rarest = math.log(files + 1) + 1
-        self.idf = {t: math.log((files + 1) / (frequency.get(t, 0) + 1)) + 1 for t in self.vocabulary}
-        self.vectors = []
-        for name, text in notices:
-            weights = {t: n * self.idf[t] for t, n in Counter(_terms(text)).items()}
-            norm = math.sqrt(sum(w * w for w in weights.values()))
-            self.vectors.append((name, {t: w / norm for t, w in weights.items()}))
-
-    def reachable(self, present: set[str], threshold: float) -> list[tuple[str, dict[str, float]]]:
-        """The notices that a segment of these terms can come close to: by Cauchy-Schwarz
-        the cosine is at most the length of the notice's part in the terms."""
-        return [(name, v) for name, v in self.vectors
-                if sum(w * w for t, w in v.items() if t in present) >= threshold * threshold]
-
-    def closest(self, segment: str, among) -> tuple[float, str] | None:
-        counts = Counter(_terms(segment))
-        if not counts:
-            return None
-        weights = {t: n * self.idf.get(t, self.rarest) for t, n in counts.items()}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
-        # the greatest cosine, then the first name
-        cosine, name = min((-sum(w * weights.get(t, 0.0) for t, w in v.items()) / norm, name)
-                           for name, v in among)
-        return round(-cosine, 9), name
+        self.idf = np.array([math.log((files + 1) / (frequency.get(t, 0) + 1)) + 1 for t in self.index])
+        self.names = [name for name, _ in terms]
+        self.lengths = np.array([len(own) for _, own in terms])
+        self.vectors = np.zeros((len(terms), len(self.index)))
+        self.naming = []
+        for k, (name, own) in enumerate(terms):
+            for t, n in Counter(own).items():
+                self.vectors[k, self.index[t]] = n * self.idf[self.index[t]]
+            marks = {self.index[t] for t in set(own) & set(_terms(name))} if len(own) <= SHORT else ()
+            self.naming.append(np.array(sorted(marks), dtype=int))
+        norms = np.sqrt((self.vectors ** 2).sum(axis=1, keepdims=True))
+        self.vectors /= np.where(norms > 0, norms, 1)
+
+    def reachable(self, present: np.ndarray, threshold: float) -> np.ndarray:
+        """The templates that a window of these terms can come close to: by Cauchy-Schwarz
+        the cosine is at most the length of the template's part in the terms."""
+        part = (self.vectors[:, present] ** 2).sum(axis=1)
+        return np.flatnonzero(part >= threshold * threshold - 1e-9)
+
+    def _cosine(self, k: int, codes: np.ndarray, weight: np.ndarray) -> float:
+        """Of template ``k`` and the terms ``codes`` (the templates' first) with these idf each."""
+        unique, at, counts = np.unique(codes, return_index=True, return_counts=True)
+        known = unique < len(self.index)
+        if not np.isin(self.naming[k], unique[known]).all():
+            return 0.0
+        dot = (self.vectors[k, unique[known]] * counts[known] * weight[at][known]).sum()
+        return round(float(dot / np.sqrt(((counts * weight[at]) ** 2).sum())), 9)
+
+    def _closest_window(self, k: int, codes: np.ndarray, weight: np.ndarray, gain: np.ndarray,
+                        squares: np.ndarray, threshold: float) -> float:
+        """The greatest cosine of template ``k`` with a window of its length, 0 if under the threshold.
+
+        A window's vector is at least as long as if its terms were all different, which bounds
+        the cosine of every window at once; windows are tried from the greatest bound down.
+        """
+        n = min(int(self.lengths[k]), len(codes))
+        dots = np.concatenate([[0.0], np.cumsum(gain)])
+        bound = (dots[n:] - dots[:-n]) / np.sqrt(squares[n:] - squares[:-n]) + 1e-6
+        open_ = np.flatnonzero(bound >= threshold)
+        best = 0.0
+        for at in open_[np.argsort(-bound[open_], kind="stable")]:
+            if bound[at] < best or best == 1.0:
+                break
+            cosine = self._cosine(k, codes[at:at + n], weight[at:at + n])
+            if cosine >= threshold:
+                best = max(best, cosine)
+        return best
 
     def scan(self, text: str, threshold: float) -> tuple[str | None, float | None, bool]:
-        """(license, similarity, whether the whole text is a notice) of a file."""
-        among = self.reachable(self.vocabulary.intersection(_terms(text)), threshold)
-        if not among:
+        """(license, similarity, whether the whole text is a licence) of a file."""
+        terms = _terms(text)
+        present = np.array(sorted(self.index[t] for t in self.index.keys() & set(terms)), dtype=int)
+        among = self.reachable(present, threshold) if len(present) else present
+        if not len(among):
             return None, None, False
-        whole = self.closest(text, among)
-        segments = [whole, *(self.closest(line, among) for line in text.splitlines())]
-        best = min(((-s[0], s[1]) for s in segments if s and s[0] >= threshold), default=None)
-        if best is None:
+        local = dict(self.index)
+        codes = np.array([local.setdefault(t, len(local)) for t in terms])
+        known = codes < len(self.index)
+        inside = np.where(known, codes, 0)
+        weight = np.where(known, self.idf[inside], self.rarest)
+        squares = np.concatenate([[0.0], np.cumsum(weight ** 2)])
+        found, whole = [], False
+        for k in among:
+            window = self._closest_window(k, codes, weight, np.where(known, self.vectors[k, inside] * weight, 0.0),
+                                          squares, threshold)
+            entire = self._cosine(k, codes, weight)
+            whole = whole or entire >= threshold
+            near = max(window, entire)
+            if near >= threshold:
+                found.append((-near, -int(self.lengths[k]), self.names[k]))
+        if not found:
             return None, None, False
-        return best[1], -best[0], bool(whole and whole[0] >= threshold)
+        near, _, name = min(found)
+        return name, -near, whole
 
 
 def _frequencies(notices):
-    vocabulary = {t for _, text in notices for t in _terms(text)}
+    vocabulary = {t for _, text in notices for t in _terms(text)}  # the templates' size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
@@ -123,7 +150,7 @@ def _frequencies(notices):
     return run
 
 
-def notices_for(files: DataFrame, text: str = "text", notices=NOTICES) -> Notices:
+def notices_for(files: DataFrame, text: str = "text", notices=TEMPLATES) -> Notices:
     """Counts the notices' terms over all files; what reaches the driver has their number."""
     rows = (files.select(text).mapInArrow(_frequencies(notices), "term string, n long")
             .groupBy("term").agg(F.sum("n").alias("n")).collect())
@@ -161,7 +188,7 @@ def ancestors(directory: Column) -> Column:
     return F.array_distinct(F.concat(F.array(F.lit("")), above))
 
 
-def licenses(files: DataFrame, threshold: float = SIMILARITY, notices=NOTICES) -> DataFrame:
+def licenses(files: DataFrame, threshold: float = SIMILARITY, notices=TEMPLATES) -> DataFrame:
     """(file_id, path, license, similarity, origin, directory) per row of files
     (file_id, path, text); origin is ``own``, ``inherited`` or null, directory that of
     the licence file inherited from."""
