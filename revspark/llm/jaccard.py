@@ -3,10 +3,13 @@
 Equal texts are one class, so copies cost a row each and no pairs. MinHash bands
 make candidates: a class is linked to the first class of each of its band
 buckets, and connected components of these links hold every pair that shares a
-bucket. Inside a component classes are dealt to blocks of BLOCK; a task compares
-two blocks. It looks at MinHash values STEP at a time and drops a pair as soon as
-the posterior probability (uniform prior) that its similarity reaches the
-threshold is under TOLERANCE; the rest are verified exactly on their shingles.
+bucket. A component is dealt to blocks of about BLOCK classes, those with the same
+smallest head together, and only blocks that share a bucket are compared, two to a
+task: a chain of texts that are alike from one to the next costs its links, not its
+square (a group of real near copies is counted link by link). A task looks at
+MinHash values STEP at a time and drops a pair as soon as the posterior probability
+(uniform prior) that its similarity reaches the threshold is under TOLERANCE; the
+rest are verified exactly on their shingles.
 Tasks return link counts and spanning links, not pairs.
 
 With BANDS bands of ROWS values a pair at the threshold of 0.8 misses every
@@ -193,6 +196,42 @@ def _compared(threshold: float, tolerance: float):
     return run
 
 
+def _dealt(candidates: DataFrame, hooks: DataFrame) -> DataFrame:
+    """(key, component, block): the members of a component in blocks of about BLOCK.
+
+    A component of at most BLOCK is one block, ''. In larger ones the members with the same
+    smallest head stay together: a quarter of BLOCK of them or more have blocks of their own,
+    fewer share blocks with others.
+    """
+    of = candidates.select(F.col("node").alias("key"), "component")
+    sizes = of.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    heads = hooks.groupBy("key").agg(F.min("root").alias("head"))
+    large = (of.join(sizes.where(F.col("n") > BLOCK), "component").join(heads, "key", "left")
+             .withColumn("head", F.coalesce("head", "key")))
+    parts = large.groupBy("component", "head").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
+    shared = F.concat(F.lit("-"), F.pmod(F.xxhash64("head"), F.ceil(F.col("n") / BLOCK)).cast("string"))
+    own = F.concat("head", F.lit("-"), F.pmod(F.xxhash64("key"), F.ceil(F.col("m") / BLOCK)).cast("string"))
+    split = large.drop("n").join(parts, ["component", "head"]).select(
+        "key", "component", F.when(F.col("m") * 4 >= BLOCK, own).otherwise(shared).alias("block"))
+    whole = of.join(sizes.where(F.col("n") <= BLOCK), "component").select("key", "component", F.lit("").alias("block"))
+    return split.unionByName(whole)
+
+
+def block_pairs(dealt: DataFrame, bands: DataFrame) -> DataFrame:
+    """(component, first, second): every block with itself, and the blocks that share a bucket.
+
+    Buckets that meet the same blocks are one row before their pairs are made.
+    """
+    met = (bands.join(dealt.where("block <> ''"), "key").groupBy("component", "band", "bucket")
+           .agg(F.sort_array(F.collect_set("block")).alias("met")).where(F.size("met") > 1)
+           .select("component", "met").distinct())
+    two = (met.select("component", "met", F.explode("met").alias("first"))
+           .select("component", "first", F.explode(F.filter("met", lambda b: b > F.col("first"))).alias("second"))
+           .distinct())
+    one = dealt.select("component", F.col("block").alias("first"), F.col("block").alias("second")).distinct()
+    return one.unionByName(two)
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
     """(members, links) of docs (doc_id, text).
 
@@ -214,23 +253,22 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
         F.min("least").alias("root"), F.collect_set("least").alias("leasts"))     # one for each band at most
     # a class meets its smallest bucket head, its other heads do so too: what was connected stays
     # so, and a class of a large group brings one link instead of one for each band
-    hooks = near.select("key", "root").union(
-        near.select(F.explode("leasts").alias("key"), "root").where("key <> root")).distinct()
+    hooks = stored(near.select("key", "root").union(
+        near.select(F.explode("leasts").alias("key"), "root").where("key <> root")).distinct(), "hooks")
     candidates = components(hooks, "key", "root", "candidates")
-    size = candidates.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
+    dealt = stored(_dealt(candidates, hooks), "blocks")
+    pairs = block_pairs(dealt, bands)
+    sides = pairs.select("component", F.col("first").alias("block"), "first", "second").unionByName(
+        pairs.where("first <> second").select("component", F.col("second").alias("block"), "first", "second"))
     # the text of one row of each candidate class: its id is in the key, so copies spread
-    wanted = candidates.join(texts.select("key", "first_id"), candidates.node == texts.key).select(
-        F.col("key").alias("k"), F.coalesce(F.col("first_id").cast("string"), F.lit("")).alias("id"), "component")
+    wanted = dealt.join(texts.select("key", "first_id"), "key").select(
+        F.col("key").alias("k"), F.coalesce(F.col("first_id").cast("string"), F.lit("")).alias("id"))
     own_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     found = (base.select(F.col("key").alias("k"), own_id.alias("id"), "text").join(wanted, ["k", "id"])
              .withColumnRenamed("k", "key"))
     signed = (found.select("key", "text").mapInArrow(_signed, "key string, values binary, grams binary")
               .dropDuplicates(["key"]))
-    blocks = (signed.join(candidates, signed.key == candidates.node).join(size, "component")
-              .withColumn("block", F.pmod(F.xxhash64("key"), F.col("n_blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-              .select("key", "values", "grams", "component", "block",
-                      F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")))
+    blocks = signed.join(dealt, "key").join(sides, ["component", "block"])
     compared = stored(blocks.groupBy("component", "first", "second").applyInArrow(
         _compared(threshold, tolerance), "key string, root string, n_links long"), "links")
     counts = compared.groupBy("key").agg(F.sum("n_links").alias("n_links"))
