@@ -41,6 +41,8 @@ HASHES = BANDS * ROWS
 STEP = 16
 TOLERANCE = 1e-9
 BLOCK = 512
+#: Parts that the members of a large component are dealt to where its size is joined to them.
+SALTS = 64
 
 _BASE = 0x9E3779B97F4A7C15
 _FACTORS = (np.random.default_rng(9).integers(1, 1 << 63, HASHES, dtype=np.uint64) << U64(1)) | U64(1)
@@ -203,18 +205,20 @@ def _dealt(candidates: DataFrame, hooks: DataFrame) -> DataFrame:
     smallest head stay together: a quarter of BLOCK of them or more have blocks of their own,
     fewer share blocks with others.
     """
-    of = candidates.select(F.col("node").alias("key"), "component")
-    sizes = of.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    of = candidates.select(F.col("node").alias("key"), "component",
+                           F.pmod(F.xxhash64("node"), F.lit(SALTS)).alias("salt"))
+    # at most a row for each BLOCK / 4 members, so that their copies are fewer than the members
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    sizes = of.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
     heads = hooks.groupBy("key").agg(F.min("root").alias("head"))
-    large = (of.join(sizes.where(F.col("n") > BLOCK), "component").join(heads, "key", "left")
-             .withColumn("head", F.coalesce("head", "key")))
-    parts = large.groupBy("component", "head").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
+    headed = of.join(heads, "key", "left").withColumn("head", F.coalesce("head", "key"))
+    parts = headed.groupBy("component", "head").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") * 4 >= BLOCK)
     shared = F.concat(F.lit("-"), F.pmod(F.xxhash64("head"), F.ceil(F.col("n") / BLOCK)).cast("string"))
     own = F.concat("head", F.lit("-"), F.pmod(F.xxhash64("key"), F.ceil(F.col("m") / BLOCK)).cast("string"))
-    split = large.drop("n").join(parts, ["component", "head"]).select(
-        "key", "component", F.when(F.col("m") * 4 >= BLOCK, own).otherwise(shared).alias("block"))
-    whole = of.join(sizes.where(F.col("n") <= BLOCK), "component").select("key", "component", F.lit("").alias("block"))
-    return split.unionByName(whole)
+    return (headed.join(sizes.select("component", "n", salts), ["component", "salt"], "left")
+            .join(parts.select("component", "head", "m", salts), ["component", "head", "salt"], "left")
+            .select("key", "component", F.when(F.col("n").isNull(), "").when(F.col("m").isNull(), shared)
+                    .otherwise(own).alias("block")))
 
 
 def block_pairs(dealt: DataFrame, bands: DataFrame) -> DataFrame:
