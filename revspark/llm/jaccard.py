@@ -319,3 +319,41 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(table(spark, sf_dir, "documents"))
+
+
+#: The same rows without MinHash: all pairs of texts that share a shingle, 5 c >= 4 of the union.
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT text, min(doc_id) AS first_id, count(*) AS n_copies,
+           list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents WHERE text IS NOT NULL GROUP BY text
+), texts AS (
+    SELECT row_number() OVER (ORDER BY first_id, text) AS t, * FROM words
+), grams AS (
+    SELECT DISTINCT t, md5(array_to_string(w[i:i + 4], ' ')) AS g
+    FROM (SELECT t, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM texts WHERE len(w) > 0) AS places
+), sizes AS (
+    SELECT t, count(*) AS n FROM grams GROUP BY t
+), common AS (
+    SELECT a.t AS a, b.t AS b, count(*) AS c FROM grams AS a JOIN grams AS b ON a.g = b.g AND a.t < b.t GROUP BY a.t, b.t
+), pairs AS (
+    SELECT a, b FROM common JOIN sizes AS x ON x.t = a JOIN sizes AS y ON y.t = b
+    WHERE 5 * c >= 4 * (x.n + y.n - c)
+), links AS (
+    SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reached(t, other) AS (
+    SELECT t, t FROM texts
+    UNION SELECT reached.t, links.b FROM reached JOIN links ON links.a = reached.other
+), groups AS (
+    SELECT t, min(other) AS least FROM reached GROUP BY t
+), counts AS (
+    SELECT a AS t, count(*) AS n FROM links GROUP BY a
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN d.doc_id ELSE head.first_id END AS class_id,
+       coalesce(counts.n, 0) AS n_links,
+       CASE WHEN d.text IS NULL THEN d.doc_id ELSE own.first_id END AS copy_of,
+       coalesce(own.n_copies, 1) AS n_copies
+FROM documents AS d LEFT JOIN texts AS own ON own.text = d.text
+LEFT JOIN groups ON groups.t = own.t LEFT JOIN texts AS head ON head.t = groups.least
+LEFT JOIN counts ON counts.t = own.t
+"""

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+import duckdb
+import pytest
+
 from pyspark.sql import functions as F
 
 
@@ -46,3 +49,27 @@ def test_equal_rows_and_large_groups(spark, monkeypatch):
     assert len(got) == 122 and {got[i].class_id for i in range(120)} == {0}
     assert {got[i].n_links for i in range(120)} == {89}
     assert (got[120].n_links, got[121].n_links) == (0, 0)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_sql(spark, sf):
+    from revspark.llm import jaccard as J
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '/root/testdata/{sf}/documents.parquet'")
+    found = con.execute(J.ORACLE_SQL)
+    names, want = [c[0] for c in found.description], sorted(found.fetchall())
+    assert sorted(map(tuple, J.op9_ngram_jaccard(spark, f"/root/testdata/{sf}").select(*names).collect())) == want
+
+
+def test_sql_on_ties_nulls_and_short_texts(spark):
+    from revspark.llm import jaccard as J
+    words = [f"w{i}" for i in range(13)]
+    texts = [(1, " ".join(words[:12])), (2, " ".join(words)), (3, " ".join(words[1:])),  # 8 of 9, 8 of 9, 7 of 9 shingles
+             (4, " ".join(words[:12])), (5, None), (6, None), (7, ""), (8, "  "), (9, "a b"), (9, "a  b"), (10, "a b")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    found = con.execute(J.ORACLE_SQL)
+    names, want = [c[0] for c in found.description], sorted(found.fetchall())
+    assert sorted(map(tuple, J.joined(docs).select(*names).collect())) == want
+    assert {r[0]: r[1] for r in want}[3] == 1
