@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revspark.llm import chat, collocations, jaccard, substring, url_filter
+from revspark.llm import chat, collocations, jaccard, substring, suffixes, url_filter
 from revspark.llm.bpe import op3_byte_bpe
 from revspark.llm.decontaminate import op7_decontaminate
 from revspark.llm.language import op10_language_id
@@ -14,7 +14,6 @@ from revspark.llm.licenses import op6_license_scan
 from revspark.llm.neighbours import op4_neighbours
 from revspark.llm.periodic import op12_periodic_runs
 from revspark.llm.quality import op2_quality
-from revspark.llm.suffixes import op13_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_preference_format": chat.op1_preference_format,
@@ -29,7 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_collocations": collocations.op11_collocations,
     "op12_periodic_runs": op12_periodic_runs,
-    "op13_suffix_dedup": op13_suffix_dedup,
+    "op13_suffix_dedup": suffixes.op13_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -38,4 +37,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_substring_dedup": substring.ORACLE_SQL,
     "op9_ngram_jaccard": jaccard.ORACLE_SQL,
     "op11_collocations": collocations.ORACLE_SQL,
+    "op13_suffix_dedup": suffixes.ORACLE_SQL,
 }

@@ -476,3 +476,36 @@ def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return without_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans",
                                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same rows without suffix arrays: every 50-byte string with the least doc_id it starts in.
+ORACLE_SQL = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS t, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), blocks AS (
+    -- 512 starts each, so that a string is cut from a short piece
+    SELECT t, doc_id, base, substr(x, 2 * base + 1, 2 * (512 + 49)) AS piece
+    FROM (SELECT *, unnest(range(0, strlen(x) // 2 - 49, 512)) AS base FROM texts) AS each
+), strings AS (
+    SELECT t, doc_id, base + k AS i, md5(substr(piece, 2 * k + 1, 100)) AS s
+    FROM (SELECT *, unnest(range(0, strlen(piece) // 2 - 49)) AS k FROM blocks) AS places
+), firsts AS (
+    SELECT s, min(doc_id) AS first_id FROM strings GROUP BY s
+), found AS (
+    SELECT t, i FROM strings JOIN firsts USING (s) WHERE first_id < doc_id
+), marked AS (
+    SELECT t, i, CASE WHEN i <= lag(i) OVER (PARTITION BY t ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM found
+), runs AS (
+    SELECT t, run, min(i) AS lo, max(i) + 50 AS hi
+    FROM (SELECT t, i, sum(new) OVER (PARTITION BY t ORDER BY i) AS run FROM marked) AS numbered GROUP BY t, run
+), gaps AS (
+    SELECT t, lo, hi, coalesce(lag(hi) OVER (PARTITION BY t ORDER BY lo), 0) AS before FROM runs
+), cut AS (
+    SELECT t, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS hi,
+           string_agg(substr(x, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS kept
+    FROM gaps JOIN texts USING (t) GROUP BY t
+)
+SELECT doc_id, strlen(x) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN hi IS NULL THEN x ELSE kept || substr(x, 2 * hi + 1) END)) AS kept_sha256
+FROM texts LEFT JOIN cut USING (t)
+"""
